@@ -25,10 +25,7 @@ from visitlog.operators.ranking import (
 from visitlog.operators.reshape import null_flags
 from visitlog.plans import analyses, dashboards, export, quality
 from visitlog.plans.refine import refine, refine_counts, refine_log, refine_to_table
-from visitlog.schema import (
-    REFINED_COLUMNS,
-    export_schema,
-)
+from visitlog.schema import REFINED_COLUMNS, export_schema
 from visitlog.session import new_shared_path
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sinks.publish import publish_all
@@ -167,9 +164,13 @@ def on_refined_only(plan, *args, **kwargs):
     return lambda spark, sf_dir: plan(refined_only(spark, sf_dir), *args, **kwargs)
 
 
-def on_export(plan, export_clock="12h", **kwargs):
+def on_export(plan, clock="12h"):
+    return lambda spark, sf_dir: plan(export.visits_export(refined_only(spark, sf_dir), clock))
+
+
+def on_cleaned(plan, *args, **kwargs):
     return lambda spark, sf_dir: plan(
-        export.visits_export(refined_only(spark, sf_dir), export_clock), **kwargs
+        quality.clean(refined_only(spark, sf_dir)), *args, **kwargs
     )
 
 
@@ -256,8 +257,8 @@ QUERIES = {
     "arrival_gap_hist": on_refined(dashboards.arrival_gap_hist),
     "arrival_gap_hist_24h": on_refined(dashboards.arrival_gap_hist, "24h"),
     "export_top_comments": on_export(analyses.top_comments),
-    "visit_kpis": on_export(dashboards.visit_kpis),
-    "visit_kpis_24h": on_export(dashboards.visit_kpis, "24h", clock="24h"),
+    "visit_kpis": on_cleaned(dashboards.visit_kpis),
+    "visit_kpis_24h": on_cleaned(dashboards.visit_kpis, "24h"),
     # Other tables.
     "event_type_counts": on_table(
         "events", lambda t: split_counts(t, equals("event_type", "purchase"))

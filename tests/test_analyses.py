@@ -1,0 +1,192 @@
+from pyspark.sql import types as T
+
+from tests.helpers import one, values, visits
+from visitlog.operators.counting import (
+    group_shares,
+    match_rate,
+    null_counts,
+    null_row_counts,
+)
+from visitlog.operators.ranking import bottom_k_values, earliest, latest, top_k_values
+from visitlog.operators.reshape import null_flags, preview
+from visitlog.plans import analyses, dashboards, export, quality
+from visitlog.schema import REFINED_COLUMNS, export_schema, refined_schema
+
+
+def _times(spark, *times):
+    return visits(spark, *[{"time_of_arrival": t, "lname": str(i)} for i, t in enumerate(times)])
+
+
+def test_first_and_last_by_time_not_by_text(spark):
+    df = _times(spark, "02/01/2010 01:00", "01/31/2011 01:00", "12/31/2009 11:59", None, "", "  ")
+    assert analyses.first_visitor(df).first().lname == "2"
+    assert analyses.last_visitor(df).first().lname == "1"
+    assert analyses.first_visitor(df).columns == list(REFINED_COLUMNS)
+
+
+def test_unparsed_arrival_is_first_unless_left_out(spark):
+    df = _times(spark, "02/01/2010 01:00", "02/01/2010 13:00", "soon")
+    assert analyses.first_visitor(df).first().lname == "1"
+    assert analyses.first_visitor(df, require_parsed=True).first().lname == "0"
+    assert analyses.first_visitor(df, "24h", require_parsed=True).first().lname == "0"
+    assert analyses.last_visitor(df).first().lname == "0"
+    assert analyses.last_visitor(df, "24h").first().lname == "1"
+
+
+def test_ties_go_to_the_smaller_row(spark):
+    df = _times(spark, *["02/01/2010 01:00"] * 3).orderBy("lname", ascending=False)
+    assert analyses.first_visitor(df).first().lname == "0"
+    assert analyses.last_visitor(df).first().lname == "0"
+    assert [r.lname for r in earliest(df, "time_of_arrival", k=2).collect()] == ["0", "1"]
+    assert latest(df, "lname").first().lname == "2"
+
+
+def test_comment_ranking_keeps_blank_and_drops_empty(spark):
+    comments = ["b", "a", "b", "a", "c", "  ", None, "", None, ""]
+    df = visits(spark, *[{"info_comment": c} for c in comments])
+    assert values(analyses.top_comments(df)) == [("a", 2), ("b", 2), ("  ", 1), ("c", 1)]
+    assert values(analyses.least_comments(df)) == [("  ", 1), ("c", 1), ("a", 2), ("b", 2)]
+    assert values(analyses.top_comments(df, 1)) == [("a", 2)]
+    assert top_k_values(df, "info_comment").schema["count"].dataType == T.LongType()
+    assert values(bottom_k_values(df, "info_comment", 1)) == [("  ", 1)]
+
+
+def test_null_names_form_one_group(spark):
+    changes = [{"fname": None}, {"lname": None}, {"fname": None, "lname": None}, {}, {}]
+    df = visits(spark, *changes)
+    assert values(analyses.top_visitors(df)) == [(None, 3), ("Jane Doe", 2)]
+    assert values(analyses.top_visitors(df, keep_null=False)) == [("Jane Doe", 2)]
+
+
+def test_variations(spark):
+    comments = ["GEN RECEP", "gen recep", "General Reception", "GEN RECEP", "TOUR", "", None]
+    df = visits(spark, *[{"info_comment": c} for c in comments])
+    assert one(analyses.variation_rate(df)) == {
+        "total_rows": 7, "matching_rows": 4, "percent": 57.1429,
+    }
+    assert values(analyses.variation_values(df)) == [
+        ("GEN RECEP",), ("General Reception",), ("gen recep",),
+    ]
+    assert values(analyses.variation_values(df, k=1)) == [("GEN RECEP",)]
+
+
+def test_null_profile(spark):
+    df = visits(spark, {}, {"lname": None}, {"lname": None, "fname": None}, {"info_comment": ""})
+    assert one(null_row_counts(df)) == {
+        "total_rows": 4, "clean_rows": 2, "null_rows": 2, "percent_null": 50.0,
+    }
+    counts = one(null_counts(df))
+    assert counts == {**dict.fromkeys(REFINED_COLUMNS, 0), "lname": 2, "fname": 1}
+    flags = null_flags(df)
+    assert {t for _, t in flags.dtypes} == {"int"}
+    assert {c: sum(r[c] for r in flags.collect()) for c in df.columns} == counts
+
+
+def test_all_null_column(spark):
+    df = visits(spark, *[{"fname": None}] * 3)
+    assert one(null_row_counts(df))["percent_null"] == 100.0
+    assert one(null_counts(df))["fname"] == 3
+    assert quality.clean(df).count() == 0
+
+
+def test_missing_purpose(spark):
+    df = visits(spark, *[{"info_comment": c} for c in [None, "", "  ", "x"]])
+    assert one(quality.missing_purpose_rate(df)) == {"missing_count": 2, "percent": 50.0}
+    sample = quality.missing_purpose_sample(df, 1, order_by=["info_comment"])
+    assert sample.columns == ["fname", "lname", "time_of_arrival", "meeting_location"]
+    assert sample.count() == 1
+    assert quality.missing_purpose_sample(df).count() == 2
+    assert preview(df, 3).count() == 3
+
+
+def test_cleaning_needs_text_in_four_columns_and_no_null(spark):
+    kept = [{}, {"meeting_location": ""}, {"appt_scheduled_time": "  "}]
+    dropped = [{c: v} for c in ("lname", "fname", "time_of_arrival", "info_comment")
+               for v in (None, "", "  ")]
+    dropped += [{"meeting_location": None}, {"appt_scheduled_time": None}]
+    df = visits(spark, *kept, *dropped)
+    assert quality.clean(df).count() == len(kept)
+    assert one(quality.clean_counts(df)) == {
+        "total_rows": len(kept) + len(dropped),
+        "clean_rows": len(kept),
+        "removed_rows": len(dropped),
+    }
+
+
+def test_export_columns_and_cells(spark):
+    df = visits(spark, {}, {"time_of_arrival": "10/12/2010 14:48"}, {"lname": None})
+    exported = export.visits_export(df)
+    assert [(f.name, f.dataType) for f in exported.schema] == [
+        (f.name, f.dataType) for f in export_schema()
+    ]
+    assert [tuple(r)[6:] for r in exported.collect()] == [(2010, 10, 2), (None, None, None)]
+    assert [tuple(r)[6:] for r in export.export_cells(df).collect()] == [
+        ("2010", "10", "2"), ("", "", ""),
+    ]
+    assert [r.visit_hour for r in export.visits_export(df, "24h").collect()] == [2, 14]
+
+
+def test_one_scan_profile_agrees_with_the_single_reports(spark):
+    df = visits(spark, {}, {"lname": None}, {"info_comment": ""}, {"info_comment": "GEN RECEP"},
+                {"fname": " "}, {"info_comment": None})
+    profile = one(quality.visit_profile(df, REFINED_COLUMNS))
+    assert profile["total_rows"] == df.count()
+    assert profile["null_rows"] == one(null_row_counts(df))["null_rows"]
+    assert profile["missing_purpose"] == one(quality.missing_purpose_rate(df))["missing_count"]
+    assert profile["variations"] == one(analyses.variation_rate(df))["matching_rows"]
+    assert profile["clean_rows"] == quality.clean(df).count()
+    assert {c: profile[f"null_{c}"] for c in REFINED_COLUMNS} == one(null_counts(df))
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], refined_schema())
+    assert one(analyses.variation_rate(df)) == {
+        "total_rows": 0, "matching_rows": 0, "percent": None,
+    }
+    assert one(quality.missing_purpose_rate(df)) == {"missing_count": 0, "percent": None}
+    assert one(null_row_counts(df))["percent_null"] is None
+    assert set(one(null_counts(df)).values()) == {0}
+    assert one(match_rate(df, df.lname == "x"))["percent"] is None
+    assert one(dashboards.visit_kpis(df)) == {
+        "total_visits": 0, "peak_year": None, "peak_month": None,
+        "peak_visits": None, "avg_gap_minutes": None,
+    }
+    for plan in (analyses.first_visitor, analyses.top_visitors, analyses.variation_values,
+                 quality.clean, export.visits_export, dashboards.location_share,
+                 dashboards.arrival_gap_hist):
+        assert plan(df).count() == 0
+
+
+def test_shares_add_up(spark):
+    df = visits(spark, *[{"meeting_location": m} for m in ["WH", "WH", "OEOB", None]])
+    shares = {r.meeting_location: (r["count"], r.percent)
+              for r in dashboards.location_share(df).collect()}
+    assert shares == {"WH": (2, 50.0), "OEOB": (1, 25.0), None: (1, 25.0)}
+    assert sum(r.p for r in group_shares(df, ["lname"], "n", "p").collect()) == 100.0
+
+
+def test_gap_bins_are_named_by_their_lower_end(spark):
+    gaps = {-31: -45, -30: -30, -1: -15, 0: 0, 14: 0, 15: 15}
+    df = visits(spark, *[
+        {"appt_scheduled_time": "10/12/2010 02:00",
+         "time_of_arrival": f"10/12/2010 {(120 + g) // 60:02d}:{(120 + g) % 60:02d}"}
+        for g in gaps
+    ], {"appt_scheduled_time": None}, {"time_of_arrival": "soon"})
+    got = {r.gap_bin: r["count"] for r in dashboards.arrival_gap_hist(df).collect()}
+    assert got == {-45: 1, -30: 1, -15: 1, 0: 2, 15: 1}
+
+
+def test_peak_month_ignores_unparsed_and_prefers_the_earlier(spark):
+    times = ["03/01/2010 01:00"] * 2 + ["02/01/2011 01:00"] * 2 + ["soon"] * 5
+    kpis = one(dashboards.visit_kpis(_times(spark, *times)))
+    assert (kpis["total_visits"], kpis["peak_year"], kpis["peak_month"], kpis["peak_visits"]) == (
+        9, 2010, 3, 2,
+    )
+
+
+def test_months_of_different_years_stay_apart(spark):
+    df = _times(spark, "03/01/2010 01:00", "03/01/2011 01:00", "soon")
+    months = {tuple(r) for r in dashboards.monthly_visits(export.visits_export(df)).collect()}
+    assert months == {(2010, 3, 1), (2011, 3, 1), (None, None, 1)}
+    heat = {tuple(r) for r in dashboards.hour_month_heat(export.visits_export(df)).collect()}
+    assert heat == {(1, 3, 2), (None, None, 1)}

@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+
+from visitlog.functions.timeparse import minutes_between, parse_visit_ts, with_time_parts
+
+# value, 12-hour reading, 24-hour reading (time of 2010-10-12 unless dated)
+CASES = [
+    ("10/12/2010 14:48", None, "2010-10-12 14:48"),
+    ("10/12/2010 02:05", "2010-10-12 02:05", "2010-10-12 02:05"),
+    ("10/12/2010 12:30", "2010-10-12 00:30", "2010-10-12 12:30"),
+    ("10/12/2010 00:10", None, "2010-10-12 00:10"),
+    ("1/2/2010 9:05", "2010-01-02 09:05", "2010-01-02 09:05"),
+    ("1/2/2010 9:5", "2010-01-02 09:05", "2010-01-02 09:05"),
+    ("10/12/10 9:05", None, None),
+    ("10/12/2010 02:05 PM", "2010-10-12 02:05", "2010-10-12 02:05"),
+    ("10/12/2010 02:05:59", "2010-10-12 02:05", "2010-10-12 02:05"),
+    (" 10/12/2010 02:05", "2010-10-12 02:05", "2010-10-12 02:05"),
+    ("bad", None, None),
+    ("10/12/2010", None, None),
+    ("13/40/2010 02:05", None, None),
+    ("02/30/2010 02:05", None, None),
+    ("10/12/2010 02:60", None, None),
+    ("", None, None),
+    ("   ", None, None),
+    (None, None, None),
+]
+
+
+def _read(spark, clock, **options):
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(CASES)], "i int, v string")
+    ts = F.date_format(parse_visit_ts("v", clock, **options), "yyyy-MM-dd HH:mm")
+    return [r[0] for r in df.orderBy("i").select(ts).collect()]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_both_clocks_under_any_ansi_setting(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert _read(spark, "12h") == [c[1] for c in CASES]
+        assert _read(spark, "24h") == [c[2] for c in CASES]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_strict_reads_only_the_padded_pattern(spark):
+    strict = dict(zip([c[0] for c in CASES], _read(spark, "12h", tolerant=False)))
+    assert strict["10/12/2010 02:05"] == "2010-10-12 02:05"
+    assert strict["1/2/2010 9:05"] is None
+    assert strict["10/12/2010 02:05 PM"] is None
+
+
+def test_parts_are_null_where_the_time_is(spark):
+    df = spark.createDataFrame([("10/12/2010 12:30",), ("10/12/2010 14:48",)], "v string")
+    parts = with_time_parts(df, parse_visit_ts("v"), "y", "m", "h")
+    assert parts.dtypes == [("v", "string"), ("y", "int"), ("m", "int"), ("h", "int")]
+    assert [tuple(r)[1:] for r in parts.collect()] == [(2010, 10, 0), (None, None, None)]
+
+
+def test_minutes_between_is_signed(spark):
+    df = spark.createDataFrame([("10/12/2010 10:00", "10/12/2010 09:31")], "a string, b string")
+    gap = minutes_between(parse_visit_ts("a", "24h"), parse_visit_ts("b", "24h"))
+    assert df.select(gap).first()[0] == -29

@@ -25,47 +25,50 @@ def location_share(visits, column="meeting_location"):
     return group_shares(visits, [column])
 
 
-def _gap_minutes(clock):
-    return minutes_between(
-        parse_visit_ts("appt_scheduled_time", clock),
-        parse_visit_ts("time_of_arrival", clock),
-    )
-
-
 def arrival_gap_hist(visits, clock="12h", width=15):
     """Rows per bin of minutes from appointment to arrival (early is negative).
 
     A bin is named by its lower end. Rows with a time missing are left out.
     """
-    gaps = visits.select(_gap_minutes(clock).alias("gap")).filter(F.col("gap").isNotNull())
+    gap = minutes_between(
+        parse_visit_ts("appt_scheduled_time", clock), parse_visit_ts("time_of_arrival", clock)
+    )
+    gaps = visits.select(gap.alias("gap")).filter(F.col("gap").isNotNull())
     bins = gaps.select((F.col("gap") - F.pmod("gap", F.lit(width))).cast("int").alias("gap_bin"))
     return group_counts(bins, ["gap_bin"])
 
 
-def visit_kpis(export, clock="12h"):
+def visit_kpis(cleaned, clock="12h"):
     """All visits, the month with most of them, and the mean arrival gap.
 
     Months are counted first, so one small row per month and task is shuffled;
     the totals and the peak come from those rows.
     """
+    arrival = F.col("_arrival")
     months = (
-        export.withColumn("_gap", _gap_minutes(clock))
-        .groupBy("visit_year", "visit_month")
+        cleaned.select(
+            parse_visit_ts("time_of_arrival", clock).alias("_arrival"),
+            parse_visit_ts("appt_scheduled_time", clock).alias("_scheduled"),
+        )
+        .select(
+            F.year(arrival).alias("year"),
+            F.month(arrival).alias("month"),
+            minutes_between("_scheduled", "_arrival").alias("gap"),
+        )
+        .groupBy("year", "month")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("_gap").alias("gap_sum"),
-            F.count("_gap").alias("gap_rows"),
+            F.sum("gap").alias("gap_sum"),
+            F.count("gap").alias("gap_rows"),
         )
     )
     # Most visits first, then the earlier month.
-    rank = F.when(
-        F.col("visit_month").isNotNull(), F.struct("n", -F.col("visit_year"), -F.col("visit_month"))
-    )
-    peak = F.max_by(F.struct("visit_year", "visit_month", "n"), rank)
+    rank = F.when(F.col("month").isNotNull(), F.struct("n", -F.col("year"), -F.col("month")))
+    peak = F.max_by(F.struct("year", "month", "n"), rank)
     return months.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_visits"),
-        peak["visit_year"].alias("peak_year"),
-        peak["visit_month"].alias("peak_month"),
+        peak["year"].alias("peak_year"),
+        peak["month"].alias("peak_month"),
         peak["n"].alias("peak_visits"),
         F.round(F.try_divide(F.sum("gap_sum"), F.sum("gap_rows")), 4).alias("avg_gap_minutes"),
     )
