@@ -5,8 +5,6 @@ Each column follows one rule on ``event_id``, ``user_id``, ``ts`` or
 blank text, spelling variations, ties and 24-hour times.
 """
 
-from pyspark.sql import functions as F
-
 from visitlog.schema import (
     RAW_WIDTH,
     REFINED_POSITIONS,
@@ -14,61 +12,38 @@ from visitlog.schema import (
     positional_name,
 )
 
-# The time format and the texts of the derived log.
-TIME_FORMAT = "MM/dd/yyyy HH:mm"
-COMMENTS = {
-    0: None,
-    1: "",
-    2: "GEN RECEP",
-    3: "General Reception",
-    4: "gen. recep 2",
-    5: "GENERAL  RECEPTION/",
-    6: "OPERATIONS",
-    7: "   ",
+# The rules of the derived log.
+COLUMN_RULES = {
+    "event_id": "event_id",
+    "lname": "IF(event_id % 97 = 0, NULL, 'L' || user_id % 40)",
+    "fname": "IF(event_id % 89 = 0, '  ', 'F' || user_id % 7)",
+    "time_of_arrival": """CASE WHEN event_id % 11 = 0 THEN NULL
+        WHEN event_id % 13 = 0 THEN '   '
+        ELSE date_format(ts, 'MM/dd/yyyy HH:mm') END""",
+    "appt_scheduled_time": """IF(event_id % 17 = 0, NULL,
+        date_format(date_trunc('hour', ts + INTERVAL 30 MINUTES), 'MM/dd/yyyy HH:mm'))""",
+    "meeting_location": """CASE WHEN event_id % 19 = 0 THEN NULL
+        WHEN event_id % 10 < 7 THEN 'WH' ELSE 'OEOB' END""",
+    "visitee": """CASE event_type WHEN 'purchase' THEN 'POTUS' WHEN 'error' THEN 'potus'
+        ELSE upper(event_type) END""",
+    "info_comment": """CASE event_id % 12 WHEN 0 THEN NULL WHEN 1 THEN ''
+        WHEN 2 THEN 'GEN RECEP' WHEN 3 THEN 'General Reception' WHEN 4 THEN 'gen. recep 2'
+        WHEN 5 THEN 'GENERAL  RECEPTION/' WHEN 6 THEN 'OPERATIONS' WHEN 7 THEN '   '
+        ELSE 'TOUR ' || event_id % 23 END""",
 }
 
 
-def visits_from_events(events):
-    """Named log columns plus ``event_id`` (unique) and ``visitee``."""
-    eid = F.col("event_id")
+EMPTY = "''"
 
-    def every(n):
-        return eid % n == 0
 
-    scheduled = F.date_trunc("hour", F.col("ts") + F.expr("INTERVAL 30 MINUTES"))
-    comment = F.concat(F.lit("TOUR "), (eid % 23).cast("string"))
-    for remainder, text in COMMENTS.items():
-        comment = F.when(eid % 12 == remainder, F.lit(text)).otherwise(comment)
-    return events.select(
-        eid,
-        F.when(~every(97), F.concat(F.lit("L"), (F.col("user_id") % 40).cast("string"))).alias("lname"),
-        F.when(every(89), F.lit("  "))
-        .otherwise(F.concat(F.lit("F"), (F.col("user_id") % 7).cast("string")))
-        .alias("fname"),
-        F.when(every(11), F.lit(None))
-        .when(every(13), F.lit("   "))
-        .otherwise(F.date_format("ts", TIME_FORMAT))
-        .alias("time_of_arrival"),
-        F.when(~every(17), F.date_format(scheduled, TIME_FORMAT)).alias("appt_scheduled_time"),
-        F.when(every(19), F.lit(None))
-        .when(eid % 10 < 7, F.lit("WH"))
-        .otherwise(F.lit("OEOB"))
-        .alias("meeting_location"),
-        F.when(F.col("event_type") == "purchase", F.lit("POTUS"))
-        .when(F.col("event_type") == "error", F.lit("potus"))
-        .otherwise(F.upper("event_type"))
-        .alias("visitee"),
-        comment.alias("info_comment"),
-    )
+def visits_from_events(events):
+    """Named log columns plus ``event_id`` (unique) and ``visitee``."""
+    return events.selectExpr(*[f"{rule} AS {name}" for name, rule in COLUMN_RULES.items()])
 
 
 def as_positional(visits, keep=(), width=RAW_WIDTH):
     """The raw headerless layout of named visits; unused positions are empty."""
     names = {**REFINED_POSITIONS, VISITEE_POSITION: "visitee"}
-    return visits.select(
-        *keep,
-        *[
-            (F.col(names[i]) if i in names else F.lit("")).alias(positional_name(i))
-            for i in range(width)
-        ],
+    return visits.selectExpr(
+        *keep, *[f"{names.get(i, EMPTY)} AS {positional_name(i)}" for i in range(width)]
     )
