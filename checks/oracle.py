@@ -90,7 +90,7 @@ def _null_rows(columns, source):
 
 def _gap_hist(clock="12h"):
     return f"""{_REFINED}, gaps AS (SELECT {_gap(clock)} AS gap FROM refined)
-      SELECT CAST(floor(gap / 15.0) * 15 AS INTEGER) AS gap_bin, count(*) AS count
+      SELECT CAST(floor(gap / 15.0) * 15 AS BIGINT) AS gap_bin, count(*) AS count
       FROM gaps WHERE gap IS NOT NULL GROUP BY 1"""
 
 

@@ -39,6 +39,11 @@ def test_ties_go_to_the_smaller_row(spark):
     assert analyses.last_visitor(df).first().lname == "0"
     assert [r.lname for r in earliest(df, "time_of_arrival", k=2).collect()] == ["0", "1"]
     assert latest(df, "lname").first().lname == "2"
+    some = _times(spark, None, "b", "a", None)
+    assert [r.lname for r in earliest(some, "time_of_arrival", 3, null_keys=False).collect()] == ["2", "1"]
+    assert [r.lname for r in earliest(some, "time_of_arrival", 3).collect()] == ["0", "3", "2"]
+    assert [r.lname for r in latest(some, "time_of_arrival", 3, null_keys=False).collect()] == ["1", "2"]
+    assert [r.lname for r in latest(some, "time_of_arrival", 3).collect()] == ["1", "2", "0"]
 
 
 def test_comment_ranking_keeps_blank_and_drops_empty(spark):

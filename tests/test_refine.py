@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import types as T
 
@@ -11,7 +13,7 @@ from visitlog.schema import (
     positional_schema,
     refined_schema,
 )
-from visitlog.session import get_session, new_shared_path, shared_folder, stage
+from visitlog.session import get_session, new_shared_path, release, shared_folder, stage
 from visitlog.sinks.publish import publish_all
 from visitlog.sinks.tables import save_refined, verify_written
 from visitlog.sources.delimited import read_positional_csv
@@ -140,6 +142,18 @@ def test_stage_uses_the_shared_folder_the_session_names(spark):
     assert all(f"{folder}/visitlog-unit-" in f for f in staged.inputFiles())
 
 
+def test_release_deletes_only_what_was_staged(spark, tmp_path):
+    own = str(tmp_path / "own")
+    spark.range(2).write.parquet(own)
+    staged = stage(spark.range(3))
+    both = staged.union(spark.read.parquet(own))
+    (folder,) = {Path(f.removeprefix("file:")).parent for f in staged.inputFiles()}
+    assert folder.exists()
+    release(both)
+    assert not folder.exists()
+    assert spark.read.parquet(own).count() == 2
+
+
 def test_session_factory_returns_the_running_session(spark):
     session = get_session("another name", hive=False)
     assert session.sparkContext is spark.sparkContext

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from visitlog.schema import PAGE_SIZE
-from visitlog.session import stage
+from visitlog.session import release, stage
 
 # monotonically_increasing_id keeps the place within a partition in these bits.
 PLACE_BITS = 33
@@ -26,15 +26,21 @@ def number_rows(df, order_by=None, unique=False, name="row_number"):
     Unless ``unique`` says that no two rows agree on ``order_by``, the rows get
     a stored tie-break first. The range sort can then split a run of equal keys
     over many tasks, even if it is a third of all rows.
+
+    The numbered rows read a staged copy in the shared folder; once they are
+    written elsewhere, ``release`` deletes it.
     """
     columns = df.columns
+    tied = None
     if order_by:
         keys = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
         if not unique:
-            df = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
+            df = tied = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
             keys.append(F.col("_tie"))
         df = df.orderBy(*keys).select(*columns)
     placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    if tied is not None:
+        release(tied)
     partition = F.shiftrightunsigned("_place", PLACE_BITS).alias("_partition")
     within = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 

@@ -10,27 +10,32 @@ from pyspark.sql import functions as F
 from visitlog.operators.counting import group_counts
 
 
-def _ordered_by_key(df, key, tie_break, k, descending):
+def _ordered_by_key(df, key, order, tie_break, k, null_keys):
     # The key is a column of its own so that it is computed once per row, not
     # once per comparison.
-    order = F.col("_key").desc_nulls_last() if descending else F.col("_key").asc_nulls_first()
     ties = [F.col(c).asc_nulls_first() for c in tie_break or df.columns]
-    return (
+    top = (
         df.withColumn("_key", F.col(key) if isinstance(key, str) else key)
         .orderBy(order, *ties)
         .limit(k)
-        .select(*df.columns)
     )
+    # Above the limit this drops what sorted last, without a second
+    # computation of the key for every row.
+    return (top if null_keys else top.filter(F.col("_key").isNotNull())).select(*df.columns)
 
 
-def earliest(df, key, k=1, tie_break=None):
-    """Rows with the ``k`` smallest keys; a NULL key counts as smallest."""
-    return _ordered_by_key(df, key, tie_break, k, descending=False)
+def earliest(df, key, k=1, tie_break=None, null_keys=True):
+    """Rows with the ``k`` smallest keys.
 
+    A NULL key counts as smallest; ``null_keys=False`` leaves such rows out.
+    """
+    order = F.col("_key").asc_nulls_first() if null_keys else F.col("_key").asc_nulls_last()
+    return _ordered_by_key(df, key, order, tie_break, k, null_keys)
 
-def latest(df, key, k=1, tie_break=None):
-    """Rows with the ``k`` largest keys; a NULL key counts as smallest."""
-    return _ordered_by_key(df, key, tie_break, k, descending=True)
+
+def latest(df, key, k=1, tie_break=None, null_keys=True):
+    """Rows with the ``k`` largest keys; NULL as for :func:`earliest`."""
+    return _ordered_by_key(df, key, F.col("_key").desc_nulls_last(), tie_break, k, null_keys)
 
 
 def top_k_values(df, column, k=10, name="count"):

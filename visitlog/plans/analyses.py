@@ -16,26 +16,28 @@ from visitlog.operators.ranking import (
 from visitlog.schema import RECEPTION_PATTERN
 
 
-def _arrivals(visits, clock, require_parsed):
-    arrival = parse_visit_ts("time_of_arrival", clock)
-    visits = visits.filter(not_blank("time_of_arrival"))
-    return (visits.filter(arrival.isNotNull()) if require_parsed else visits), arrival
-
-
 def first_visitor(visits, clock="12h", require_parsed=False, tie_break=None):
     """The row with the earliest arrival.
 
     An arrival that is there but does not parse sorts before all others, unless
     ``require_parsed`` leaves such rows out.
     """
-    rows, arrival = _arrivals(visits, clock, require_parsed)
-    return earliest(rows, arrival, tie_break=tie_break)
+    return earliest(
+        visits.filter(not_blank("time_of_arrival")),
+        parse_visit_ts("time_of_arrival", clock),
+        tie_break=tie_break,
+        null_keys=not require_parsed,
+    )
 
 
 def last_visitor(visits, clock="12h", require_parsed=False, tie_break=None):
     """The row with the latest arrival; one that does not parse sorts last."""
-    rows, arrival = _arrivals(visits, clock, require_parsed)
-    return latest(rows, arrival, tie_break=tie_break)
+    return latest(
+        visits.filter(not_blank("time_of_arrival")),
+        parse_visit_ts("time_of_arrival", clock),
+        tie_break=tie_break,
+        null_keys=not require_parsed,
+    )
 
 
 def top_comments(visits, k=10, column="info_comment"):

@@ -33,9 +33,11 @@ def arrival_gap_hist(visits, clock="12h", width=15):
     gap = minutes_between(
         parse_visit_ts("appt_scheduled_time", clock), parse_visit_ts("time_of_arrival", clock)
     )
-    gaps = visits.select(gap.alias("gap")).filter(F.col("gap").isNotNull())
-    bins = gaps.select((F.col("gap") - F.pmod("gap", F.lit(width))).cast("int").alias("gap_bin"))
-    return group_counts(bins, ["gap_bin"])
+    bins = visits.select((F.floor(gap / width) * width).alias("gap_bin"))
+    # Counting the bin itself gives 0 for the group without one. A filter on the
+    # bin would move below the grouping and parse both times of each row again.
+    counts = bins.groupBy("gap_bin").agg(F.count("gap_bin").alias("count"))
+    return counts.filter(F.col("count") > 0)
 
 
 def visit_kpis(cleaned, clock="12h"):

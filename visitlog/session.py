@@ -6,6 +6,9 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+# How the names of this package's folders begin.
+STAGED = "visitlog-"
+
 
 def get_session(app_name="Visit Log", hive=True, log_level="ERROR"):
     """Get or create a session, by default with a Hive catalog.
@@ -41,7 +44,13 @@ def shared_folder(spark):
 
 def new_shared_path(spark, label):
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/visitlog-{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{STAGED}{label}-{uuid.uuid4().hex}"
+
+
+def file_system(spark, path):
+    """Hadoop's file system and path objects for ``path``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def stage(df, label="stage"):
@@ -49,9 +58,19 @@ def stage(df, label="stage"):
 
     This cuts the lineage: generated ids in the frame are now stored values, so
     the loss of an executor cannot change them between two passes. The caller
-    owns the written folder.
+    owns the written folder until :func:`release`.
     """
     spark = df.sparkSession
     path = new_shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df):
+    """Delete the staged folders that ``df`` reads; it cannot be run afterwards."""
+    spark = df.sparkSession
+    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[1].startswith(STAGED):
+            fs, target = file_system(spark, folder)
+            fs.delete(target, True)

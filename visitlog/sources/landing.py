@@ -1,5 +1,7 @@
 """Landing raw data once."""
 
+from visitlog.session import file_system
+
 
 def has_landed(spark, path):
     """Whether ``path`` holds a file, or a folder whose write was finished.
@@ -7,9 +9,7 @@ def has_landed(spark, path):
     A folder that is empty, or that still has a job's temporary folder and no
     success marker, is what an interrupted write leaves behind.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root = file_system(spark, path)
     if not fs.exists(root):
         return False
     if fs.getFileStatus(root).isFile():
