@@ -1,3 +1,7 @@
+import random
+import re
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +65,55 @@ def test_minutes_between_is_signed(spark):
     df = spark.createDataFrame([("10/12/2010 10:00", "10/12/2010 09:31")], "a string, b string")
     gap = minutes_between(parse_visit_ts("a", "24h"), parse_visit_ts("b", "24h"))
     assert df.select(gap).first()[0] == -29
+
+
+def _by_hand(text, clock):
+    """The reading rule spelled out on one string."""
+    found = re.match(r"[ \t]*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2})", text or "", re.ASCII)
+    if not found:
+        return None
+    month, day, year, hour, minute = map(int, found.groups())
+    if clock == "12h":
+        if not 1 <= hour <= 12:
+            return None
+        hour %= 12
+    try:
+        return datetime(year, month, day, hour, minute).strftime("%Y-%m-%d %H:%M")
+    except ValueError:
+        return None
+
+
+@pytest.mark.parametrize("clock", ["12h", "24h"])
+def test_many_texts_against_the_rule_by_hand(spark, clock):
+    rng = random.Random(7)
+
+    def number(low, high):
+        n = rng.randint(low, high)
+        return rng.choice(["{}", "{:02d}"]).format(n)
+
+    def text():
+        year = rng.choice(["2010", "1999", "2024", "10", "201", "20101"])
+        out = "{}/{}/{}{}{}:{}{}".format(
+            number(0, 14), number(0, 33), year, rng.choice([" "] * 9 + ["", "T"]),
+            number(0, 26), number(0, 62), rng.choice(["", "", " PM", ":30", " x", "\n"]),
+        )
+        return rng.choice(["", "", " ", "\t ", "x"]) + out
+
+    texts = [text() for _ in range(6000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string").repartition(4)
+    got = df.select("i", F.date_format(parse_visit_ts("v", clock), "yyyy-MM-dd HH:mm")).collect()
+    assert {texts[i]: t for i, t in got} == {t: _by_hand(t, clock) for t in texts}
+    assert sum(t is not None for _, t in got) > 500
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_wall_clock_does_not_depend_on_the_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert _read(spark, "24h") == [c[2] for c in CASES]
+        df = spark.createDataFrame([("10/12/2010 23:30",)], "v string")
+        row = with_time_parts(df, parse_visit_ts("v", "24h"), "y", "m", "h").first()
+        assert tuple(row)[1:] == (2010, 10, 23)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
