@@ -20,7 +20,9 @@ from visitlog.operators.paging import PLACE_BITS, number_rows
 from visitlog.plans import analyses, dashboards, export, quality
 from visitlog.plans.refine import refine_to_table
 from visitlog.schema import REFINED_COLUMNS
+from visitlog.plans.report import analysis_results, shared_analysis_results
 from visitlog.sinks.csvfiles import export_csv
+from visitlog.sinks.publish import publish_all
 from visitlog.sources.delimited import read_positional_csv
 from visitlog.sources.derived import as_positional, visits_from_events
 from visitlog.sources.tables import read_refined
@@ -63,6 +65,10 @@ def drain(df):
     df.write.format("noop").mode("overwrite").save()
 
 
+def publish(results, folder):
+    publish_all(results, f"{folder}/published")
+
+
 def main(folder):
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -104,6 +110,13 @@ def main(folder):
     }
     for step, df in steps.items():
         timed(step, lambda df=df: drain(df))
+    timed("all results, each alone", lambda: publish(analysis_results(visits), folder))
+
+    def shared():
+        with shared_analysis_results(visits) as results:
+            publish(results, folder)
+
+    timed("all results, shared", shared)
     timed("export csv", lambda: export_csv(export.export_cells(visits), f"{folder}/export"))
     timed("pages, stored order", lambda: drain(export.export_batches(visits)))
 

@@ -1,8 +1,9 @@
 from tests.helpers import values
 from visitlog import jobs
 from visitlog.operators.ranking import top_k_values
-from visitlog.plans.report import analysis_results, chart_results
-from visitlog.schema import export_schema
+from visitlog.plans.refine import refine
+from visitlog.plans.report import analysis_results, chart_results, shared_analysis_results
+from visitlog.schema import export_schema, refined_schema
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sources.delimited import read_exported_csv
 from visitlog.sources.derived import as_positional, visits_from_events
@@ -35,3 +36,16 @@ def test_log_to_table_to_analyses_to_csv(spark, tmp_path, capsys):
     assert values(top_k_values(exported, "info_comment")) == values(
         spark.read.parquet(f"{out}/chart_top_comments")
     )
+
+
+def test_shared_results_equal_the_single_ones(spark):
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    some = refine(as_positional(visits_from_events(events)))
+    none = spark.createDataFrame([], refined_schema())
+    for visits in (some, none):
+        single = analysis_results(visits)
+        with shared_analysis_results(visits) as shared:
+            assert shared.keys() == single.keys()
+            for name, df in shared.items():
+                assert df.dtypes == single[name].dtypes, name
+                assert values(df) == values(single[name]), name

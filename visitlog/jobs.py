@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from visitlog.plans.export import export_cells  # noqa: E402
 from visitlog.plans.quality import clean_counts  # noqa: E402
 from visitlog.plans.refine import refine_to_table  # noqa: E402
-from visitlog.plans.report import analysis_results, chart_results  # noqa: E402
+from visitlog.plans.report import chart_results, shared_analysis_results  # noqa: E402
 from visitlog.session import get_session  # noqa: E402
 from visitlog.sinks.csvfiles import export_csv  # noqa: E402
 from visitlog.sinks.publish import publish_all  # noqa: E402
@@ -29,10 +29,12 @@ def refine_job(spark, args):
 
 def analyze_job(spark, args):
     visits = read_refined(spark, args.table)
-    results = analysis_results(visits, args.clock)
+    with shared_analysis_results(visits, args.clock) as results:
+        paths = publish_all(results, args.output)
     if args.charts:
-        results |= {f"chart_{k}": df for k, df in chart_results(visits, args.clock).items()}
-    for name, path in publish_all(results, args.output).items():
+        charts = chart_results(visits, args.clock)
+        paths |= publish_all({f"chart_{k}": df for k, df in charts.items()}, args.output)
+    for name, path in paths.items():
         print(name)
         spark.read.parquet(path).show(truncate=False)
 

@@ -38,16 +38,41 @@ def latest(df, key, k=1, tie_break=None, null_keys=True):
     return _ordered_by_key(df, key, F.col("_key").desc_nulls_last(), tie_break, k, null_keys)
 
 
+def earliest_and_latest(df, key):
+    """Both ends by a numeric key in one scan, ties to the smaller row.
+
+    One row with structs ``earliest`` and ``latest``, each NULL if there are no
+    rows. A NULL key counts as smallest.
+    """
+    rows = df.withColumn("_key", key)
+    up = F.struct("_key", *df.columns)
+    down = F.struct(F.col("_key").isNull().alias("_none"), (-F.col("_key")).alias("_key"), *df.columns)
+
+    def first(order):
+        smallest = F.min(order)
+        return F.when(smallest.isNotNull(), F.struct(*[smallest[c].alias(c) for c in df.columns]))
+
+    return rows.agg(first(up).alias("earliest"), first(down).alias("latest"))
+
+
+def most_frequent(counts, column, k=10, name="count"):
+    """The ``k`` largest of counted groups, ties by value."""
+    return counts.orderBy(F.col(name).desc(), F.col(column).asc_nulls_first()).limit(k)
+
+
+def least_frequent(counts, column, k=10, name="count"):
+    """The ``k`` smallest of counted groups, ties by value."""
+    return counts.orderBy(F.col(name).asc(), F.col(column).asc_nulls_first()).limit(k)
+
+
 def top_k_values(df, column, k=10, name="count"):
     """The ``k`` most frequent values of a column, ties by value."""
-    counts = group_counts(df, [column], name)
-    return counts.orderBy(F.col(name).desc(), F.col(column).asc_nulls_first()).limit(k)
+    return most_frequent(group_counts(df, [column], name), column, k, name)
 
 
 def bottom_k_values(df, column, k=10, name="count"):
     """The ``k`` least frequent values of a column, ties by value."""
-    counts = group_counts(df, [column], name)
-    return counts.orderBy(F.col(name).asc(), F.col(column).asc_nulls_first()).limit(k)
+    return least_frequent(group_counts(df, [column], name), column, k, name)
 
 
 def first_distinct_values(df, column, k=30):

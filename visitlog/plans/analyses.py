@@ -9,6 +9,7 @@ from visitlog.operators.counting import match_rate
 from visitlog.operators.ranking import (
     bottom_k_values,
     earliest,
+    earliest_and_latest,
     first_distinct_values,
     latest,
     top_k_values,
@@ -40,6 +41,14 @@ def last_visitor(visits, clock="12h", require_parsed=False, tie_break=None):
     )
 
 
+def first_and_last_visitor(visits, clock="12h"):
+    """Both rows as structs ``earliest`` and ``latest``; one parse per visit."""
+    return earliest_and_latest(
+        visits.filter(not_blank("time_of_arrival")),
+        F.unix_seconds(parse_visit_ts("time_of_arrival", clock)),
+    )
+
+
 def top_comments(visits, k=10, column="info_comment"):
     """The most frequent purposes that are not empty; a blank one counts."""
     return top_k_values(visits.filter(not_empty(column)), column, k)
@@ -50,9 +59,9 @@ def least_comments(visits, k=10, column="info_comment"):
     return bottom_k_values(visits.filter(not_empty(column)), column, k)
 
 
-def variation_rate(visits, pattern=RECEPTION_PATTERN, column="info_comment"):
+def variation_rate(visits, pattern=RECEPTION_PATTERN, column="info_comment", weight=None):
     """How many rows spell a label in some way, ignoring case."""
-    return match_rate(visits, matches(column, pattern))
+    return match_rate(visits, matches(column, pattern), weight=weight)
 
 
 def variation_values(visits, pattern=RECEPTION_PATTERN, column="info_comment", k=30):

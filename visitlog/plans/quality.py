@@ -9,17 +9,17 @@ from visitlog.functions.predicates import (
     not_blank,
     not_null,
 )
-from visitlog.operators.counting import percent, row_count, split_counts
+from visitlog.operators.counting import counted, percent, split_counts
 from visitlog.operators.reshape import preview
 from visitlog.schema import RECEPTION_PATTERN, REQUIRED_FOR_EXPORT
 
 
-def missing_purpose_rate(visits, column="info_comment"):
+def missing_purpose_rate(visits, column="info_comment", weight=None):
     """Visits without a purpose (NULL or empty) and their percentage."""
-    missing = F.count_if(is_empty(column))
+    missing = counted(is_empty(column), weight)
     return visits.agg(
         missing.alias("missing_count"),
-        percent(missing, F.count(F.lit(1))).alias("percent"),
+        percent(missing, counted(weight=weight)).alias("percent"),
     )
 
 
@@ -52,7 +52,7 @@ def visit_profile(visits, columns, column="info_comment", pattern=RECEPTION_PATT
     """All single-row counters of the log in one scan."""
     exported = _is_clean(visits, REQUIRED_FOR_EXPORT, columns)
     return visits.agg(
-        row_count(),
+        counted().alias("total_rows"),
         F.count_if(~all_of(not_null, columns)).alias("null_rows"),
         F.count_if(is_empty(column)).alias("missing_purpose"),
         F.count_if(matches(column, pattern)).alias("variations"),
