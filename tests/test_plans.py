@@ -8,6 +8,7 @@ from __spark_entry__ import entry, queries
 from tests.helpers import plan_text
 from visitlog.functions.predicates import not_empty
 from visitlog.operators.counting import group_counts, group_shares, null_counts
+from visitlog.operators.paging import number_rows
 from visitlog.operators.ranking import top_k_values
 from visitlog.plans import analyses, dashboards, export, quality
 from visitlog.plans.refine import refine
@@ -94,6 +95,17 @@ def test_counters_take_one_scan(stored):
     assert plan.count("FileScan") == 1
 
 
+@pytest.mark.parametrize("order_by", [None, ["lname"]])
+def test_numbering_moves_no_rows_after_the_sort(stored, order_by):
+    """Only counts per partition are shuffled, from the one column they need."""
+    plan = plan_text(number_rows(stored, order_by))
+    assert plan.count("BroadcastHashJoin") == 1
+    rows, counts = plan.split("BroadcastExchange")
+    assert "Exchange" not in rows.replace("BroadcastHashJoin", "")
+    assert {"_place"} in _read_columns(counts)
+    assert counts.index("Window") < counts.index("HashAggregate") < counts.index("partial_count")
+
+
 def test_share_total_reuses_the_grouping(stored):
     df = group_shares(stored, ["meeting_location"])
     df.collect()

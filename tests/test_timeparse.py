@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tests.helpers import values, visits
 from visitlog.functions.timeparse import minutes_between, parse_visit_ts, with_time_parts
+from visitlog.plans import analyses, dashboards, export
 
 # value, 12-hour reading, 24-hour reading (time of 2010-10-12 unless dated)
 CASES = [
@@ -117,3 +119,26 @@ def test_wall_clock_does_not_depend_on_the_zone(spark, zone):
         assert tuple(row)[1:] == (2010, 10, 23)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_results_do_not_depend_on_the_timestamp_type(spark):
+    def run():
+        rows = visits(spark, *[{"time_of_arrival": c[0], "lname": str(i)} for i, c in enumerate(CASES)])
+        return [
+            values(plan)
+            for plan in (
+                export.visits_export(rows, "24h").orderBy("lname"),
+                analyses.first_visitor(rows, require_parsed=True),
+                analyses.first_and_last_visitor(rows),
+                dashboards.arrival_gap_hist(rows).orderBy("gap_bin"),
+                dashboards.visit_kpis(rows, "24h"),
+            )
+        ]
+
+    before = spark.conf.get("spark.sql.timestampType")
+    zoned = run()
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        assert run() == zoned
+    finally:
+        spark.conf.set("spark.sql.timestampType", before)

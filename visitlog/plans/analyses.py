@@ -45,7 +45,7 @@ def first_and_last_visitor(visits, clock="12h"):
     """Both rows as structs ``earliest`` and ``latest``; one parse per visit."""
     return earliest_and_latest(
         visits.filter(not_blank("time_of_arrival")),
-        F.unix_seconds(parse_visit_ts("time_of_arrival", clock)),
+        F.unix_seconds(parse_visit_ts("time_of_arrival", clock).cast("timestamp_ltz")),
     )
 
 
