@@ -15,7 +15,12 @@ def test_log_to_table_to_analyses_to_csv(spark, tmp_path, capsys):
     log, out = str(tmp_path / "log"), str(tmp_path / "out")
     export_csv(as_positional(visits_from_events(events)), log, header=False)
 
-    jobs.main(["refine", "--log", log, "--table", "job_visits", "--no-hive"])
+    landed = str(tmp_path / "landed")
+    for said in ("landed", "already there"):
+        jobs.main(["land", "--log", log, "--output", landed, "--no-hive"])
+        assert said in capsys.readouterr().out
+
+    jobs.main(["refine", "--log", landed, "--table", "job_visits", "--no-hive"])
     visits = read_refined(spark, "job_visits")
     assert visits.count() == events.filter("event_type = 'purchase'").count()
     assert "filtered_out" in capsys.readouterr().out
@@ -28,11 +33,15 @@ def test_log_to_table_to_analyses_to_csv(spark, tmp_path, capsys):
         assert spark.read.parquet(f"{out}/chart_{name}").count() > 0
 
     jobs.main(["export", "--table", "job_visits", "--output", f"{out}/csv", "--no-hive"])
+    jobs.main(["export", "--table", "job_visits", "--output", f"{out}/pages", "--pages", "--no-hive"])
+    pages = spark.read.option("header", True).csv(f"{out}/pages")
+    numbers = sorted(int(r.sheet_row) for r in pages.collect())
     exported = read_exported_csv(spark, f"{out}/csv", export_schema())
     assert exported.count() == visits.dropna().filter(
         "trim(lname) != '' and trim(fname) != '' and trim(time_of_arrival) != ''"
         " and trim(info_comment) != ''"
     ).count()
+    assert numbers == list(range(2, exported.count() + 2))
     assert values(top_k_values(exported, "info_comment")) == values(
         spark.read.parquet(f"{out}/chart_top_comments")
     )

@@ -1,5 +1,6 @@
-"""The three steps as jobs for ``spark-submit``.
+"""The steps as jobs for ``spark-submit``.
 
+    spark-submit visitlog/jobs.py land    --log <uri> --output <uri>
     spark-submit visitlog/jobs.py refine  --log <uri> --table visits_refined
     spark-submit visitlog/jobs.py analyze --table visits_refined --output <uri>
     spark-submit visitlog/jobs.py export  --table visits_refined --output <uri>
@@ -11,17 +12,23 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from visitlog.plans.export import export_cells  # noqa: E402
+from visitlog.plans.export import export_batches, export_cells  # noqa: E402
 from visitlog.plans.quality import clean_counts  # noqa: E402
 from visitlog.plans.refine import refine_to_table  # noqa: E402
 from visitlog.plans.report import chart_results, shared_analysis_results  # noqa: E402
-from visitlog.session import get_session  # noqa: E402
+from visitlog.session import get_session, release  # noqa: E402
 from visitlog.sinks.csvfiles import export_csv  # noqa: E402
 from visitlog.sinks.publish import publish_all  # noqa: E402
 from visitlog.sources.delimited import read_positional_csv  # noqa: E402
+from visitlog.sources.landing import land_if_absent  # noqa: E402
 from visitlog.sources.tables import read_refined  # noqa: E402
 
 
+def land_job(spark, args):
+    landed = land_if_absent(spark.read.text(args.log), args.output)
+    print("landed" if landed else "already there")
+
+
 def refine_job(spark, args):
     raw = read_positional_csv(spark, args.log, rfc4180=args.rfc4180)
     refine_to_table(raw, args.table, fmt=args.format, compact=args.compact).show(truncate=False)
@@ -42,28 +49,36 @@ def analyze_job(spark, args):
 def export_job(spark, args):
     visits = read_refined(spark, args.table)
     clean_counts(visits).show()
-    export_csv(export_cells(visits, args.clock), args.output)
+    if args.pages:
+        pages = export_batches(visits, args.clock)
+        export_csv(pages, args.output)
+        release(pages)
+    else:
+        export_csv(export_cells(visits, args.clock), args.output)
 
 
-def main(argv=None):
+def parse(argv):
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     steps = parser.add_subparsers(required=True)
-    for name, job in [("refine", refine_job), ("analyze", analyze_job), ("export", export_job)]:
-        step = steps.add_parser(name)
-        step.set_defaults(job=job)
-        step.add_argument("--table", required=True)
-        step.add_argument("--no-hive", dest="hive", action="store_false")
-        if job is refine_job:
-            step.add_argument("--log", required=True)
-            step.add_argument("--format", default="orc")
-            step.add_argument("--compact", action="store_true")
-            step.add_argument("--rfc4180", action="store_true")
-        else:
-            step.add_argument("--output", required=True)
-            step.add_argument("--clock", choices=["12h", "24h"], default="12h")
-        if job is analyze_job:
-            step.add_argument("--charts", action="store_true")
-    args = parser.parse_args(argv)
+
+    def step(job, **options):
+        sub = steps.add_parser(job.__name__.removesuffix("_job"))
+        sub.set_defaults(job=job)
+        sub.add_argument("--no-hive", dest="hive", action="store_false")
+        for name, settings in options.items():
+            sub.add_argument(f"--{name}", **settings)
+
+    needed, flag = {"required": True}, {"action": "store_true"}
+    clock = {"choices": ["12h", "24h"], "default": "12h"}
+    step(land_job, log=needed, output=needed)
+    step(refine_job, log=needed, table=needed, format={"default": "orc"}, compact=flag, rfc4180=flag)
+    step(analyze_job, table=needed, output=needed, clock=clock, charts=flag)
+    step(export_job, table=needed, output=needed, clock=clock, pages=flag)
+    return parser.parse_args(argv)
+
+
+def main(argv=None):
+    args = parse(argv)
     args.job(get_session(hive=args.hive), args)
 
 
