@@ -6,10 +6,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.helpers import values
+from tests.helpers import values, visits
+from visitlog.operators import paging
 from visitlog.operators.paging import assign_batches, number_rows
 from visitlog.plans import export
-from tests.helpers import visits
+from visitlog.session import stage
 
 
 @contextmanager
@@ -61,11 +62,13 @@ def test_stored_order_needs_no_shuffle_of_rows(spark):
 
 def test_a_run_of_equal_keys_is_split_over_tasks(spark, monkeypatch):
     """A third of all rows share one key; no sort task may hold them all."""
-    staged = []
-    from visitlog.operators import paging
+    staged = {}
 
-    stage = paging.stage
-    monkeypatch.setattr(paging, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    def remember(df, label):
+        staged[label] = stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(paging, "stage", remember)
     rows = [("hot", "x")] * 20000 + [(f"k{i}", "x") for i in range(40000)]
     df = _shuffled(spark, rows, "k string, v string")
     with conf(
@@ -76,7 +79,7 @@ def test_a_run_of_equal_keys_is_split_over_tasks(spark, monkeypatch):
         numbered = number_rows(df, ["k"])
     assert numbered.agg(F.count_distinct("row_number")).first()[0] == 60000
     part = F.shiftrightunsigned("_place", paging.PLACE_BITS)
-    sizes = [r["count"] for r in staged[-1].groupBy(part).count().collect()]
+    sizes = [r["count"] for r in staged["placed"].groupBy(part).count().collect()]
     assert len(sizes) == 12
     assert max(sizes) < 2 * 60000 / 12
 

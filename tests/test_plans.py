@@ -97,13 +97,22 @@ def test_counters_take_one_scan(stored):
 
 @pytest.mark.parametrize("order_by", [None, ["lname"]])
 def test_numbering_moves_no_rows_after_the_sort(stored, order_by):
-    """Only counts per partition are shuffled, from the one column they need."""
     plan = plan_text(number_rows(stored, order_by))
     assert plan.count("BroadcastHashJoin") == 1
-    rows, counts = plan.split("BroadcastExchange")
-    assert "Exchange" not in rows.replace("BroadcastHashJoin", "")
-    assert {"_place"} in _read_columns(counts)
-    assert counts.index("Window") < counts.index("HashAggregate") < counts.index("partial_count")
+    assert {"_partition", "_offset"} in _read_columns(plan)
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+def test_offsets_are_only_broadcast_below_the_threshold(spark, stored):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = number_rows(stored, ["lname"])
+        assert "BroadcastHashJoin" not in plan_text(numbered)
+        numbers = sorted(r.row_number for r in numbered.collect())
+        assert numbers == list(range(1, stored.count() + 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_share_total_reuses_the_grouping(stored):

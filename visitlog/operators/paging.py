@@ -44,17 +44,19 @@ def number_rows(df, order_by=None, unique=False, name="row_number"):
     partition = F.shiftrightunsigned("_place", PLACE_BITS).alias("_partition")
     within = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
-    # One row per task of the write above, so both the window and the broadcast
-    # are bounded by the number of tasks in a job.
+    # One row per task of the write above, so the window is bounded by the number
+    # of tasks in a job. Stored, the offsets have a size that Spark knows before
+    # it plans the join: it broadcasts them below its threshold, else it shuffles.
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = stage(
         placed.groupBy(partition)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
+        "offsets",
     )
     return (
         placed.withColumn("_partition", partition)
-        .join(F.broadcast(offsets), "_partition")
+        .join(offsets, "_partition")
         .select(*columns, (F.col("_offset") + within + 1).alias(name))
     )
 
