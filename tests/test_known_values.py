@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.registry import QUERIES, visits
+from checks.registry import QUERIES, refined, visits
 from tests.helpers import one
+from visitlog.functions.predicates import not_blank
+from visitlog.functions.timeparse import parse_visit_ts
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -44,6 +46,18 @@ def test_first_and_last(spark, name, event_id):
     assert one(_run(spark, name)) == one(row)
 
 
+def test_arrivals(spark):
+    rows = refined(spark, SF_DIR).filter(not_blank("time_of_arrival"))
+    assert rows.count() == 1667
+    assert rows.filter(parse_visit_ts("time_of_arrival").isNull()).count() == 857
+    assert rows.filter(parse_visit_ts("time_of_arrival", "24h").isNull()).count() == 0
+    locations = visits(spark, SF_DIR).groupBy("meeting_location").count().collect()
+    assert {r.meeting_location: r["count"] for r in locations} == {None: 527, "OEOB": 2841, "WH": 6632}
+    midnight = visits(spark, SF_DIR).filter(F.hour(parse_visit_ts("time_of_arrival")) == 0)
+    noon = visits(spark, SF_DIR).filter(F.hour(parse_visit_ts("time_of_arrival", "24h")) == 12)
+    assert midnight.count() == noon.count() == 341
+
+
 def test_text_table_is_exported_whole(spark):
     assert _run(spark, "documents_csv_roundtrip").agg(F.sum(F.length("text"))).first() == (
         spark.read.parquet(f"{SF_DIR}/documents.parquet").agg(F.sum(F.length("text"))).first()
