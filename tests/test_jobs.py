@@ -2,7 +2,12 @@ from tests.helpers import values
 from visitlog import jobs
 from visitlog.operators.ranking import top_k_values
 from visitlog.plans.refine import refine
-from visitlog.plans.report import analysis_results, chart_results, shared_analysis_results
+from visitlog.plans.report import (
+    analysis_results,
+    chart_results,
+    shared_analysis_results,
+    shared_chart_results,
+)
 from visitlog.schema import export_schema, refined_schema
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sources.delimited import read_exported_csv
@@ -52,9 +57,13 @@ def test_shared_results_equal_the_single_ones(spark):
     some = refine(as_positional(visits_from_events(events)))
     none = spark.createDataFrame([], refined_schema())
     for visits in (some, none):
-        single = analysis_results(visits)
-        with shared_analysis_results(visits) as shared:
-            assert shared.keys() == single.keys()
-            for name, df in shared.items():
-                assert df.dtypes == single[name].dtypes, name
-                assert values(df) == values(single[name]), name
+        for alone, together, arranged in [
+            (analysis_results, shared_analysis_results, list),
+            (chart_results, shared_chart_results, lambda rows: sorted(rows, key=str)),
+        ]:
+            single = alone(visits)
+            with together(visits) as shared:
+                assert shared.keys() == single.keys()
+                for name, df in shared.items():
+                    assert df.dtypes == single[name].dtypes, name
+                    assert arranged(values(df)) == arranged(values(single[name])), name

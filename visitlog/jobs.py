@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from visitlog.plans.export import export_batches, export_cells  # noqa: E402
 from visitlog.plans.quality import clean_counts  # noqa: E402
 from visitlog.plans.refine import refine_to_table  # noqa: E402
-from visitlog.plans.report import chart_results, shared_analysis_results  # noqa: E402
+from visitlog.plans.report import shared_analysis_results, shared_chart_results  # noqa: E402
 from visitlog.session import get_session, release  # noqa: E402
 from visitlog.sinks.csvfiles import export_csv  # noqa: E402
 from visitlog.sinks.publish import publish_all  # noqa: E402
@@ -39,8 +39,9 @@ def analyze_job(spark, args):
     with shared_analysis_results(visits, args.clock) as results:
         paths = publish_all(results, args.output)
     if args.charts:
-        charts = chart_results(visits, args.clock)
-        paths |= publish_all({f"chart_{k}": df for k, df in charts.items()}, args.output)
+        with shared_chart_results(visits, args.clock) as charts:
+            named = {f"chart_{name}": df for name, df in charts.items()}
+            paths |= publish_all(named, args.output)
     for name, path in paths.items():
         print(name)
         spark.read.parquet(path).show(truncate=False)

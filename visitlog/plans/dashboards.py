@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from visitlog.functions.timeparse import minutes_between, parse_visit_ts
 from visitlog.operators.counting import group_counts, group_shares
+from visitlog.schema import EXPORT_PARTS
 
 
 def monthly_visits(export, year="visit_year", month="visit_month"):
@@ -40,37 +41,52 @@ def arrival_gap_hist(visits, clock="12h", width=15):
     return counts.filter(F.col("count") > 0)
 
 
-def visit_kpis(cleaned, clock="12h"):
-    """All visits, the month with most of them, and the mean arrival gap.
+def time_counts(cleaned, keys=EXPORT_PARTS, clock="12h"):
+    """Visits per group of time parts, with what a mean arrival gap needs.
 
-    Months are counted first, so one small row per month and task is shuffled;
-    the totals and the peak come from those rows.
+    Columns ``count``, ``gap_sum`` and ``gap_rows`` can be summed over groups.
     """
+    year, month, hour = EXPORT_PARTS
     arrival = F.col("_arrival")
-    months = (
+    return (
         cleaned.select(
             parse_visit_ts("time_of_arrival", clock).alias("_arrival"),
             parse_visit_ts("appt_scheduled_time", clock).alias("_scheduled"),
         )
         .select(
-            F.year(arrival).alias("year"),
-            F.month(arrival).alias("month"),
-            minutes_between("_scheduled", "_arrival").alias("gap"),
+            F.year(arrival).alias(year),
+            F.month(arrival).alias(month),
+            F.hour(arrival).alias(hour),
+            minutes_between("_scheduled", "_arrival").alias("_gap"),
         )
-        .groupBy("year", "month")
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("gap").alias("gap_sum"),
-            F.count("gap").alias("gap_rows"),
+            F.count(F.lit(1)).alias("count"),
+            F.sum("_gap").alias("gap_sum"),
+            F.count("_gap").alias("gap_rows"),
         )
     )
+
+
+def kpis_of(months):
+    """The KPIs from rows of :func:`time_counts` per year and month."""
+    year, month, _ = EXPORT_PARTS
     # Most visits first, then the earlier month.
-    rank = F.when(F.col("month").isNotNull(), F.struct("n", -F.col("year"), -F.col("month")))
-    peak = F.max_by(F.struct("year", "month", "n"), rank)
+    rank = F.when(F.col(month).isNotNull(), F.struct("count", -F.col(year), -F.col(month)))
+    peak = F.max_by(F.struct(year, month, "count"), rank)
     return months.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_visits"),
-        peak["year"].alias("peak_year"),
-        peak["month"].alias("peak_month"),
-        peak["n"].alias("peak_visits"),
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_visits"),
+        peak[year].alias("peak_year"),
+        peak[month].alias("peak_month"),
+        peak["count"].alias("peak_visits"),
         F.round(F.try_divide(F.sum("gap_sum"), F.sum("gap_rows")), 4).alias("avg_gap_minutes"),
     )
+
+
+def visit_kpis(cleaned, clock="12h"):
+    """All visits, the month with most of them, and the mean arrival gap.
+
+    Months are counted first, so one small row per month and task is shuffled;
+    the totals and the peak come from those rows.
+    """
+    return kpis_of(time_counts(cleaned, EXPORT_PARTS[:2], clock))

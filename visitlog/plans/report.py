@@ -2,6 +2,8 @@
 
 from contextlib import contextmanager
 
+from pyspark.sql import functions as F
+
 from visitlog.functions.predicates import not_empty
 from visitlog.operators.counting import group_counts, null_counts, null_profile, null_row_counts
 from visitlog.operators.ranking import least_frequent, most_frequent
@@ -68,3 +70,27 @@ def chart_results(visits, clock="12h"):
         "top_comments": analyses.top_comments(exported),
         "visit_kpis": dashboards.visit_kpis(cleaned, clock),
     }
+
+
+@contextmanager
+def shared_chart_results(visits, clock="12h"):
+    """The same charts for a caller that wants them all.
+
+    The three about months and hours come from one grouping by year, month and
+    hour, kept until the ``with`` block ends.
+    """
+    hours = dashboards.time_counts(quality.clean(visits), clock=clock).persist()
+
+    def per(*keys):
+        sums = [F.sum(c).alias(c) for c in ("count", "gap_sum", "gap_rows")]
+        return hours.groupBy(*keys).agg(*sums)
+
+    months = per("visit_year", "visit_month")
+    try:
+        yield chart_results(visits, clock) | {
+            "monthly_visits": months.drop("gap_sum", "gap_rows"),
+            "hour_month_heat": per("visit_hour", "visit_month").drop("gap_sum", "gap_rows"),
+            "visit_kpis": dashboards.kpis_of(months),
+        }
+    finally:
+        hours.unpersist()
