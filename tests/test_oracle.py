@@ -7,7 +7,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+import __spark_entry__
+from checks.oracle import ORACLE
+from checks.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -31,14 +33,16 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= __spark_entry__.queries().items()
+    assert ORACLE.items() <= __spark_entry__.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     want = _rows(columns, result.fetchall())
     assert sorted(df.columns) == sorted(columns)
