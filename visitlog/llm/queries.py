@@ -3,7 +3,10 @@ and SQL for those it can express."""
 
 from visitlog.llm.decontaminate import contamination
 from visitlog.llm.language import predict_languages
+from visitlog.llm.lm import score_documents
+from visitlog.llm.neardup import link_duplicates
 from visitlog.llm.packing import pack_documents
+from visitlog.llm.pii import pseudonymize
 from visitlog.llm.quality import quality_report
 from visitlog.llm.sharding import shard_documents
 from visitlog.llm.tokens import count_tokens
@@ -19,9 +22,12 @@ def _over(name, operator):
 
 
 QUERIES = {
+    "op1_near_duplicates": _over("documents", link_duplicates),
     "op2_best_fit_packing": _over("documents", pack_documents),
     "op3_warc_captures": _over("pages", capture_pages),
+    "op4_lm_scoring": _over("documents", score_documents),
     "op5_jump_sharding": _over("documents", shard_documents),
+    "op6_pii_surrogates": _over("documents", pseudonymize),
     "op7_token_counts": _over("documents", count_tokens),
     "op8_decontamination": lambda spark, sf_dir: contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
