@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlog.llm.frames import MERGE
-from visitlog.session import new_shared_path
+from visitlog.session import new_shared_path, stage
 
 MIN_REVISIT_BYTES = 1000
 DATE = "2020-01-01T00:00:00Z"
@@ -171,8 +171,8 @@ class RecordReader:
         return record
 
 
-def record_row(headers, block):
-    """A record as a row of :data:`RECORD_SCHEMA`."""
+def record_row(headers, block, bodies=True):
+    """A record as a row of :data:`RECORD_SCHEMA`, on demand without block and payload."""
     first = {}
     for name, value in headers:
         first.setdefault(name, value)
@@ -184,21 +184,22 @@ def record_row(headers, block):
         "headers": list(first.items()),
         "concurrent_to": [v for k, v in headers if k == "warc-concurrent-to"],
         "refers_to": first.get("warc-refers-to"),
-        "block": block,
+        "block": block if bodies else None,
         "payload": None,
         "payload_bytes": None,
         "payload_digest": hex_digest(first["warc-payload-digest"]) if "warc-payload-digest" in first else None,
     }
     if kind == "response":
         payload = block.partition(b"\r\n\r\n")[2]
-        row |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}
+        row |= {"payload": payload if bodies else None, "payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}
     return row
 
 
-def read_records(spark, path, kinds=None):
+def read_records(spark, path, kinds=None, bodies=True):
     """One row per record of the archives in ``path``, of the ``kinds`` given.
 
-    The digest of a response is computed from its payload, not taken from a header."""
+    The digest of a response is computed from its payload, not taken from a header.
+    Without ``bodies`` the bytes themselves are left out."""
     lines = spark.read.option("lineSep", EOL).text(path)
     lines = lines.select(F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"))
 
@@ -215,10 +216,10 @@ def read_records(spark, path, kinds=None):
                 record = reader.feed(line)
                 if record is None:
                     continue
-                row = record_row(*record)
+                row = record_row(*record, bodies)
                 if kinds is None or row["record_type"] in kinds:
                     rows.append(row)
-                    size += len(row["block"])
+                    size += len(row["block"] or b"")
                 if size > 4 << 20 or len(rows) >= 2000:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                     rows, size = [], 0
@@ -228,38 +229,45 @@ def read_records(spark, path, kinds=None):
     return lines.mapInArrow(task, RECORD_SCHEMA)
 
 
-def assemble(spark, path):
+def assemble(spark, path, payloads=False):
     """One nested row per capture: ``capture`` (response or revisit), ``request`` and
     ``metadata`` (structs of a record; NULL if missing), and ``original``, the id,
-    headers and payload size of the response that a revisit refers to.
+    headers and payload size of the response that a revisit refers to. With
+    ``payloads`` there is the column ``payload`` too, the original's for a revisit.
 
     A request or metadata record belongs to the captures that it is concurrent to,
-    or that are concurrent to it; of several the one with the smallest id stays."""
-    names = RECORD_SCHEMA.fieldNames()
-    main = read_records(spark, path, ("response", "revisit"))
-    side = read_records(spark, path, ("request", "metadata")).drop("payload", "payload_bytes", "payload_digest")
-    forward = side.select(F.explode("concurrent_to").alias("of"), "*")
+    or that are concurrent to it; of several the one with the smallest id stays.
+    The archives are read once, their headers and digests are staged for the joins,
+    and only ``payloads`` reads them again."""
+    records = stage(read_records(spark, path, bodies=False).drop("block", "payload"), "records")
+    record = F.struct(*records.columns)
+    main = records.filter("record_type IN ('response', 'revisit')")
+    side = records.filter("record_type IN ('request', 'metadata')").select("record_id", "concurrent_to", record.alias("side"))
+    forward = side.select(F.explode("concurrent_to").alias("of"), "side")
     backward = main.select(F.explode("concurrent_to").alias("side_id"), F.col("record_id").alias("of")).join(
-        side.hint(MERGE), F.col("side_id") == F.col("record_id")
+        side.select(F.col("record_id").alias("side_id"), "side"), "side_id"
     )
-    fields = [n for n in names if n in side.columns]
-    record = F.struct(*fields)
-    pick = [
-        F.min_by(F.when(F.col("record_type") == kind, record), F.when(F.col("record_type") == kind, F.col("record_id"))).alias(kind)
-        for kind in ("request", "metadata")
-    ]
-    sides = forward.select("of", *fields).unionByName(backward.select("of", *fields)).groupBy("of").agg(*pick)
+    kind, name = F.col("side.record_type"), F.col("side.record_id")
+    pick = [F.min_by(F.when(kind == k, F.col("side")), F.when(kind == k, name)).alias(k) for k in ("request", "metadata")]
+    sides = forward.unionByName(backward.select("of", "side")).groupBy("of").agg(*pick)
     originals = (
         main.filter("record_type = 'response'")
         .groupBy(F.col("record_id").alias("original_id"))
         .agg(F.first(F.struct("record_id", "headers", "payload_bytes")).alias("original"))
     )
-    captures = main.select(F.struct(*names).alias("capture"))
-    return (
-        captures.join(sides.hint(MERGE), F.col("capture.record_id") == F.col("of"), "left")
-        .join(originals.hint(MERGE), F.col("capture.refers_to") == F.col("original_id"), "left")
+    out = (
+        main.select(record.alias("capture"))
+        .join(sides, F.col("capture.record_id") == F.col("of"), "left")
+        .join(originals, F.col("capture.refers_to") == F.col("original_id"), "left")
         .select("capture", "request", "metadata", "original")
     )
+    if not payloads:
+        return out
+    bodies = read_records(spark, path, ("response",)).groupBy(F.col("record_id").alias("body_id")).agg(
+        F.first("payload").alias("payload")
+    )
+    wanted = F.coalesce("original.record_id", "capture.record_id")
+    return out.join(bodies.hint(MERGE), wanted == F.col("body_id"), "left").drop("body_id")
 
 
 def capture_pages(pages, path=None, id_col="page_id", url_col="url", html_col="html"):
