@@ -67,6 +67,20 @@ def _visitor(direction, clock="12h", extra=""):
       ORDER BY {_ts("time_of_arrival", clock)} {nulls}, event_id LIMIT 1"""
 
 
+def _published_visitor(direction):
+    """Ties go to the smaller row, column by column."""
+    nulls = "ASC NULLS FIRST" if direction == "first" else "DESC NULLS LAST"
+    ties = ", ".join(f"{c} ASC NULLS FIRST" for c in _NAMES)
+    return f"""{_REFINED} SELECT {_COLUMNS} FROM refined WHERE trim(time_of_arrival) <> ''
+      ORDER BY {_ts("time_of_arrival")} {nulls}, {ties} LIMIT 1"""
+
+
+def _share(source, head):
+    return f"""{head} SELECT meeting_location, count(*) AS count,
+      {_percent("count(*)", f"(SELECT count(*) FROM {source})")} AS percent
+      FROM {source} GROUP BY meeting_location"""
+
+
 def _frequent(source, column, k, order, where="TRUE", head=_REFINED):
     return f"""{head} SELECT {column}, count(*) AS count FROM {source}
       WHERE {where} GROUP BY {column}
@@ -88,8 +102,9 @@ def _null_rows(columns, source):
       {nulls} AS null_rows, {_percent(nulls, "count(*)")} AS percent_null FROM {source}"""
 
 
-def _gap_hist(clock="12h"):
-    return f"""{_REFINED}, gaps AS (SELECT {_gap(clock)} AS gap FROM refined)
+def _gap_hist(clock="12h", source="refined"):
+    head = _REFINED if source == "refined" else _export(clock)
+    return f"""{head}, gaps AS (SELECT {_gap(clock)} AS gap FROM {source})
       SELECT CAST(floor(gap / 15.0) * 15 AS BIGINT) AS gap_bin, count(*) AS count
       FROM gaps WHERE gap IS NOT NULL GROUP BY 1"""
 
@@ -150,6 +165,7 @@ ORACLE = {
     "written_check": f"""{_REFINED} SELECT count(*) AS written_rows, count(*) AS expected_rows,
       TRUE AS rows_match, TRUE AS schema_matches FROM refined""",
     "landed_log": f"WITH {_VISITS} SELECT * FROM visits",
+    "landed_documents": "SELECT * FROM documents",
     "first_visitor": _visitor("first"),
     "first_visitor_24h": _visitor("first", "24h"),
     "first_visitor_parsed": _visitor(
@@ -210,11 +226,12 @@ ORACLE = {
     "export_top_visitors": _frequent(
         _named("exported"), "visitor_full_name", 20, "DESC", head=_export()
     ),
-    "location_share": f"""{_REFINED} SELECT meeting_location, count(*) AS count,
-      {_percent("count(*)", "(SELECT count(*) FROM refined)")} AS percent
-      FROM refined GROUP BY meeting_location""",
+    "location_share": _share("refined", _REFINED),
+    "export_location_share": _share("exported", _export()),
     "arrival_gap_hist": _gap_hist(),
     "arrival_gap_hist_24h": _gap_hist("24h"),
+    "export_arrival_gap_hist": _gap_hist(source="exported"),
+    "export_arrival_gap_hist_24h": _gap_hist("24h", "exported"),
     "export_top_comments": _frequent(
         "exported", "info_comment", 10, "DESC", _NOT_EMPTY, head=_export()
     ),
@@ -250,4 +267,28 @@ ORACLE = {
       row_number() OVER (ORDER BY l_returnflag, l_linestatus, l_shipdate) AS row_number
       FROM lineitem""",
     "documents_csv_roundtrip": "SELECT * FROM documents",
+    # An empty cell is read as NULL.
+    "comments_csv_roundtrip": f"""{_REFINED} SELECT nullif(info_comment, '') AS info_comment
+      FROM refined""",
+}
+ORACLE["refine_compact_counts"] = ORACLE["refine_written_counts"]
+
+# What the job publishes: shared forms of the same results.
+_SAMPLE_TIES = ", ".join(f"{c} ASC NULLS FIRST" for c in _NAMES)
+ORACLE |= {
+    "published_first_visitor": _published_visitor("first"),
+    "published_last_visitor": _published_visitor("last"),
+    "published_missing_purpose_sample": f"""{_REFINED} SELECT fname, lname, time_of_arrival,
+      meeting_location FROM refined WHERE {_EMPTY} ORDER BY {_SAMPLE_TIES} LIMIT 10""",
+    "published_null_rows": ORACLE["null_row_profile"],
+    "published_chart_top_visitors": ORACLE["export_top_visitors"],
+    "published_chart_location_share": ORACLE["export_location_share"],
+    "published_chart_arrival_gap_hist": ORACLE["export_arrival_gap_hist"],
+    "published_chart_top_comments": ORACLE["export_top_comments"],
+    **{
+        f"published_{n}": ORACLE[n]
+        for n in ("top_comments", "least_comments", "variation_rate", "variation_values",
+                  "top_visitors", "null_counts", "missing_purpose_rate")
+    },
+    **{f"published_chart_{n}": ORACLE[n] for n in ("monthly_visits", "hour_month_heat", "visit_kpis")},
 }

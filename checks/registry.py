@@ -1,7 +1,6 @@
 """Every query by name, as ``f(spark, sf_dir) -> DataFrame`` over whole tables."""
 
-import uuid
-
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from visitlog.functions.predicates import equals, matches
@@ -25,14 +24,15 @@ from visitlog.operators.ranking import (
 from visitlog.operators.reshape import null_flags
 from visitlog.plans import analyses, dashboards, export, quality
 from visitlog.plans.refine import refine, refine_counts, refine_log, refine_to_table
+from visitlog.plans.report import shared_analysis_results, shared_chart_results
 from visitlog.schema import REFINED_COLUMNS, export_schema
-from visitlog.session import new_shared_path
+from visitlog.session import new_shared_path, scratch_table
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sinks.publish import publish_all
 from visitlog.sinks.tables import save_refined, verify_written
 from visitlog.sources.delimited import read_exported_csv, read_positional_csv
 from visitlog.sources.derived import as_positional, visits_from_events
-from visitlog.sources.landing import land_if_absent
+from visitlog.sources.landing import land_csv_if_absent, land_if_absent
 from visitlog.sources.tables import read_refined
 
 PART_PATTERN = "RED|RING"
@@ -67,36 +67,37 @@ def written_log(spark, sf_dir):
     return read_positional_csv(spark, path)
 
 
-def scratch_table(spark):
-    """Name and location of an external table nothing has used yet."""
-    return f"visits_refined_{uuid.uuid4().hex}", new_shared_path(spark, "table")
-
-
 # --- load, filter, store ---------------------------------------------------
 
 
 def stored_refined(spark, sf_dir):
-    name, path = scratch_table(spark)
+    name, path = scratch_table(spark, "visits_refined")
     save_refined(refine_log(written_log(spark, sf_dir)), name, path=path)
     return read_refined(spark, name)
 
 
 def stored_refined_compact(spark, sf_dir):
-    name, path = scratch_table(spark)
+    name, path = scratch_table(spark, "visits_refined")
     save_refined(refined_only(spark, sf_dir), name, compact=True, path=path)
     return read_refined(spark, name)
 
 
 def refine_written_counts(spark, sf_dir):
-    name, path = scratch_table(spark)
+    name, path = scratch_table(spark, "visits_refined")
     return refine_to_table(written_log(spark, sf_dir), name, path=path)
 
 
+def refine_compact_counts(spark, sf_dir):
+    name, path = scratch_table(spark, "visits_refined")
+    return refine_to_table(written_log(spark, sf_dir), name, compact=True, path=path)
+
+
 def written_check(spark, sf_dir):
-    name, path = scratch_table(spark)
-    rows = refined_only(spark, sf_dir)
-    save_refined(rows, name, fmt="parquet", path=path)
-    return verify_written(spark, name, rows.count(), rows.schema)
+    name, path = scratch_table(spark, "visits_refined")
+    rows, written = refined_only(spark, sf_dir), Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    save_refined(counted, name, fmt="parquet", path=path)
+    return verify_written(spark, name, written.get["n"], rows.schema)
 
 
 def landed_log(spark, sf_dir):
@@ -108,6 +109,18 @@ def landed_log(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def landed_documents(spark, sf_dir):
+    """Land the documents, texts with line breaks, as the raw CSV file they could be."""
+    documents = table(spark, sf_dir, "documents")
+    source, landed = new_shared_path(spark, "raw"), new_shared_path(spark, "landed")
+    export_csv(documents, source, header=False)
+    land_csv_if_absent(spark, source, landed)
+    rows = read_positional_csv(spark, landed, len(documents.columns), rfc4180=True, line_sep="\n")
+    return rows.select(*[
+        F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(rows.columns, documents.schema)
+    ])
+
+
 # --- export ----------------------------------------------------------------
 
 
@@ -136,6 +149,26 @@ def documents_csv_roundtrip(spark, sf_dir):
     return read_exported_csv(spark, path, documents.schema, multi_line=True)
 
 
+def comments_csv_roundtrip(spark, sf_dir):
+    """One column alone: NULL, empty, blank and text cells."""
+    path = new_shared_path(spark, "comments")
+    comments = refined_only(spark, sf_dir).select("info_comment")
+    export_csv(comments, path)
+    return read_exported_csv(spark, path, comments.schema)
+
+
+def published(results, name):
+    """One of the shared results as the job publishes it, read back."""
+
+    def query(spark, sf_dir):
+        base = new_shared_path(spark, "published")
+        with results(refined_only(spark, sf_dir)) as shared:
+            paths = publish_all({name: shared[name]}, base)
+        return spark.read.parquet(paths[name])
+
+    return query
+
+
 def published_outputs(spark, sf_dir):
     """Publish three analyses, then report each output's rows and counts."""
     rows = refined(spark, sf_dir)
@@ -164,8 +197,10 @@ def on_refined_only(plan, *args, **kwargs):
     return lambda spark, sf_dir: plan(refined_only(spark, sf_dir), *args, **kwargs)
 
 
-def on_export(plan, clock="12h"):
-    return lambda spark, sf_dir: plan(export.visits_export(refined_only(spark, sf_dir), clock))
+def on_export(plan, clock="12h", *args):
+    return lambda spark, sf_dir: plan(
+        export.visits_export(refined_only(spark, sf_dir), clock), *args
+    )
 
 
 def on_cleaned(plan, *args, **kwargs):
@@ -212,6 +247,16 @@ def shipment_numbers(lineitem):
     return number_rows(lineitem.select(*columns), columns)
 
 
+ANALYSES = (
+    "first_visitor", "last_visitor", "top_comments", "least_comments", "variation_rate",
+    "variation_values", "top_visitors", "null_rows", "null_counts", "missing_purpose_rate",
+    "missing_purpose_sample",
+)
+CHARTS = (
+    "monthly_visits", "hour_month_heat", "top_visitors", "location_share", "arrival_gap_hist",
+    "top_comments", "visit_kpis",
+)
+
 QUERIES = {
     # Load, filter, store.
     "visits_refined": refined_only,
@@ -219,8 +264,10 @@ QUERIES = {
     "stored_refined": stored_refined,
     "stored_refined_compact": stored_refined_compact,
     "refine_written_counts": refine_written_counts,
+    "refine_compact_counts": refine_compact_counts,
     "written_check": written_check,
     "landed_log": landed_log,
+    "landed_documents": landed_documents,
     # The eight analyses.
     "first_visitor": visitor(analyses.first_visitor),
     "first_visitor_24h": visitor(analyses.first_visitor, "24h"),
@@ -247,7 +294,10 @@ QUERIES = {
     "export_cells": export_cells,
     "export_batches": export_batches,
     "export_csv_roundtrip": export_csv_roundtrip,
+    "comments_csv_roundtrip": comments_csv_roundtrip,
     "published_outputs": published_outputs,
+    **{f"published_{n}": published(shared_analysis_results, n) for n in ANALYSES},
+    **{f"published_chart_{n}": published(shared_chart_results, n) for n in CHARTS},
     # Chart summaries.
     "monthly_visits": on_export(dashboards.monthly_visits),
     "hour_month_heat": on_export(dashboards.hour_month_heat),
@@ -256,6 +306,9 @@ QUERIES = {
     "location_share": on_refined(dashboards.location_share),
     "arrival_gap_hist": on_refined(dashboards.arrival_gap_hist),
     "arrival_gap_hist_24h": on_refined(dashboards.arrival_gap_hist, "24h"),
+    "export_location_share": on_export(dashboards.location_share),
+    "export_arrival_gap_hist": on_export(dashboards.arrival_gap_hist),
+    "export_arrival_gap_hist_24h": on_export(dashboards.arrival_gap_hist, "24h", "24h"),
     "export_top_comments": on_export(analyses.top_comments),
     "visit_kpis": on_cleaned(dashboards.visit_kpis),
     "visit_kpis_24h": on_cleaned(dashboards.visit_kpis, "24h"),

@@ -106,3 +106,14 @@ def test_reshape(spark):
     assert {t for _, t in cells.dtypes} == {"string"}
     assert values(cells) == [("1", "", "a")]
     assert values(stringify_cells(picked, ["z"])) == [(1, "", "a")]
+
+
+def test_no_row_of_a_single_column_is_lost(spark, tmp_path):
+    cells = ["a", "", None, " ", "   ", 'q"x, b']
+    df = spark.createDataFrame([(c,) for c in cells], "c string").coalesce(1)
+    export_csv(df, str(tmp_path / "out"))
+    (part,) = Path(tmp_path / "out").glob("part-*.csv")
+    text = part.read_bytes().decode()
+    assert text == '"c"\n"a"\n""\n""\n" "\n"   "\n"q""x, b"\n'
+    back = values(read_exported_csv(spark, str(tmp_path / "out"), df.schema))
+    assert back == [(c or None,) for c in cells]

@@ -64,8 +64,8 @@ def test_a_run_of_equal_keys_is_split_over_tasks(spark, monkeypatch):
     """A third of all rows share one key; no sort task may hold them all."""
     staged = {}
 
-    def remember(df, label):
-        staged[label] = stage(df, label)
+    def remember(df, label, made=None):
+        staged[label] = stage(df, label, made)
         return staged[label]
 
     monkeypatch.setattr(paging, "stage", remember)

@@ -4,10 +4,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, queries
+from __spark_entry__ import entry
+from checks.registry import QUERIES
 from tests.helpers import plan_text
 from visitlog.functions.predicates import not_empty
 from visitlog.operators.counting import group_counts, group_shares, null_counts
+from visitlog.operators import paging
 from visitlog.operators.paging import number_rows
 from visitlog.operators.ranking import top_k_values
 from visitlog.plans import analyses, dashboards, export, quality
@@ -15,6 +17,7 @@ from visitlog.plans.refine import refine
 from visitlog.schema import REFINED_COLUMNS
 from visitlog.sources.delimited import read_positional_csv
 from visitlog.sources.derived import as_positional, visits_from_events
+from visitlog.session import stage
 from visitlog.sinks.csvfiles import export_csv
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,9 +36,9 @@ def _read_columns(plan):
     return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<(.*)>", plan)]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
-    plan = plan_text(queries()[name](spark, SF_DIR))
+    plan = plan_text(QUERIES[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython",
                 "BatchEvalPython", "MapInPandas", "FlatMapGroups"):
         assert bad not in plan
@@ -126,6 +129,20 @@ def test_export_is_narrow(stored):
     assert "Exchange" not in plan_text(export.export_cells(stored))
 
 
+def test_pages_are_numbered_before_times_are_parsed(stored, monkeypatch):
+    sorted_plans = []
+
+    def remember(df, label, staged=None):
+        sorted_plans.append(plan_text(df))
+        return stage(df, label, staged)
+
+    monkeypatch.setattr(paging, "stage", remember)
+    pages = export.export_batches(stored, order_by=REFINED_COLUMNS)
+    assert any("rangepartitioning" in p for p in sorted_plans)
+    assert not any("gettimestamp" in p for p in sorted_plans)
+    assert plan_text(pages).count("gettimestamp") == 1
+
+
 def test_each_time_is_parsed_once(stored):
     for df, times in [
         (export.export_cells(stored), 1),

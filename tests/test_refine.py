@@ -13,11 +13,14 @@ from visitlog.schema import (
     positional_schema,
     refined_schema,
 )
+from visitlog import session
+from visitlog.operators import paging
 from visitlog.session import get_session, new_shared_path, release, shared_folder, stage
+from visitlog.sinks.csvfiles import export_csv
 from visitlog.sinks.publish import publish_all
 from visitlog.sinks.tables import save_refined, verify_written
 from visitlog.sources.delimited import read_positional_csv
-from visitlog.sources.landing import has_landed, land_if_absent
+from visitlog.sources.landing import has_landed, land_csv_if_absent, land_if_absent
 from visitlog.sources.tables import read_refined
 
 
@@ -139,21 +142,92 @@ def test_stage_uses_the_shared_folder_the_session_names(spark):
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
     staged = stage(spark.range(3), "unit")
     assert sorted(r.id for r in staged.collect()) == [0, 1, 2]
-    assert all(f"{folder}/visitlog-unit-" in f for f in staged.inputFiles())
+    assert all(f"{folder}/visitlog-run-" in f and "/unit-" in f for f in staged.inputFiles())
 
 
-def test_release_deletes_only_what_was_staged(spark, tmp_path):
-    own = str(tmp_path / "own")
-    spark.range(2).write.parquet(own)
-    staged = stage(spark.range(3))
-    both = staged.union(spark.read.parquet(own))
-    (folder,) = {Path(f.removeprefix("file:")).parent for f in staged.inputFiles()}
-    assert folder.exists()
-    release(both)
-    assert not folder.exists()
-    assert spark.read.parquet(own).count() == 2
+def test_release_deletes_by_path(spark):
+    paths = []
+    stage(spark.range(3), "one", paths)
+    stage(spark.range(3), "two", paths)
+    folders = [Path(p) for p in paths]
+    assert all(f.exists() for f in folders)
+    release(spark, paths)
+    assert not any(f.exists() for f in folders) and not paths
+
+
+def test_numbering_leaves_nothing_behind_when_it_fails(spark, monkeypatch):
+    made = []
+
+    def failing(df, label, staged=None):
+        if label == "offsets":
+            raise RuntimeError("on purpose")
+        out = stage(df, label, staged)
+        made.append(Path(staged[-1]))
+        return out
+
+    monkeypatch.setattr(paging, "stage", failing)
+    with pytest.raises(RuntimeError):
+        paging.number_rows(spark.range(10), ["id"])
+    assert len(made) == 2 and not any(p.exists() for p in made)
+
+
+class Elsewhere:
+    """A session on a cluster, whose executors see the driver's files or don't."""
+
+    def __init__(self, spark, seen):
+        self.spark, self.seen = spark, seen
+        self.sparkContext = spark.sparkContext
+        self.conf = self
+
+    def get(self, key, default=None):
+        settings = {"spark.master": "spark://host:7077", "spark.checkpoint.dir": "file:///tmp/own"}
+        return settings.get(key, default)
+
+
+@pytest.mark.parametrize("seen", [True, False])
+def test_a_local_folder_on_a_cluster_must_be_shared(spark, monkeypatch, seen):
+    monkeypatch.setattr(session, "_seen_by_executors", lambda spark, folder: seen)
+    if seen:
+        assert shared_folder(Elsewhere(spark, seen)) == "file:///tmp/own"
+    else:
+        with pytest.raises(ValueError):
+            shared_folder(Elsewhere(spark, seen))
+
+
+def test_executors_are_asked_whether_they_see_a_folder(spark, tmp_path):
+    assert session._seen_by_executors(spark, str(tmp_path))
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_quoted_file_lands_whole_whatever_the_splits(spark, tmp_path):
+    cells = [(f"r{i}", "a,b\nc" if i % 2 else "x\ry \"q\"", "z\r\n" * (i % 3) + "e") for i in range(300)]
+    source, landed = str(tmp_path / "raw"), str(tmp_path / "landed")
+    export_csv(spark.createDataFrame(cells, "a string, b string, c string").repartition(7), source, header=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert land_csv_if_absent(spark, source, landed)
+        assert not land_csv_if_absent(spark, source, landed)
+        assert sorted(values(read_positional_csv(spark, landed, 3, rfc4180=True, line_sep="\n"))) == sorted(cells)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_compact_reads_the_log_once(spark, tmp_path):
+    """Each row of the log passes a counter, which only successful tasks add to, once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    log = _log(spark, VISITEES * 20)
+    counted = log.mapInArrow(count, log.schema)
+    assert one(refine_to_table(counted, "visits_refined", compact=True))["complete"]
+    assert read.value == 140
 
 
 def test_session_factory_returns_the_running_session(spark):
-    session = get_session("another name", hive=False)
-    assert session.sparkContext is spark.sparkContext
+    found = get_session("another name", hive=False)
+    assert found.sparkContext is spark.sparkContext

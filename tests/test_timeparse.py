@@ -21,6 +21,10 @@ CASES = [
     ("10/12/2010 02:05 PM", "2010-10-12 02:05", "2010-10-12 02:05"),
     ("10/12/2010 02:05:59", "2010-10-12 02:05", "2010-10-12 02:05"),
     (" 10/12/2010 02:05", "2010-10-12 02:05", "2010-10-12 02:05"),
+    ("01/02/2010  05:30", "2010-01-02 05:30", "2010-01-02 05:30"),
+    ("01/02/2010    9:05 x", "2010-01-02 09:05", "2010-01-02 09:05"),
+    ("01/02/2010 05:305", None, None),
+    ("01/02/2010 5:3059", None, None),
     ("bad", None, None),
     ("10/12/2010", None, None),
     ("13/40/2010 02:05", None, None),

@@ -5,11 +5,10 @@ predicate   NULL    ``''``  only spaces
 =========== ======= ======= ===========
 is_null     yes     no      no
 is_empty    yes     yes     no
-is_blank    yes     yes     yes
 =========== ======= ======= ===========
 
-Each has a complement that is never NULL. The complements spell out
-``isNotNull`` because that part can reach a columnar scan; ``trim`` cannot.
+``not_null`` and ``not_empty`` are their complements, ``not_blank`` that of all
+three together; none of them is ever NULL. They spell out ``isNotNull`` because that part can reach a columnar scan; ``trim`` cannot.
 """
 
 from functools import reduce
@@ -30,11 +29,6 @@ def is_empty(c):
     return c.isNull() | (c == "")
 
 
-def is_blank(c):
-    c = _column(c)
-    return c.isNull() | (F.trim(c) == "")
-
-
 def not_null(c):
     return _column(c).isNotNull()
 
@@ -62,8 +56,3 @@ def matches(c, pattern):
 def all_of(predicate, columns):
     """AND of one predicate over several columns; true for no columns."""
     return reduce(lambda a, b: a & b, [predicate(c) for c in columns], F.lit(True))
-
-
-def any_of(predicate, columns):
-    """OR of one predicate over several columns; false for no columns."""
-    return reduce(lambda a, b: a | b, [predicate(c) for c in columns], F.lit(False))

@@ -8,27 +8,30 @@ parse is NULL under any ANSI or parser-policy setting of the session.
 
 from pyspark.sql import functions as F
 
+from visitlog.operators.names import free_name
+
 # Time patterns of the log, and the leading text that has the shape
 # of a time on each clock.
 STRICT_PATTERNS = {"12h": "MM/dd/yyyy hh:mm", "24h": "MM/dd/yyyy HH:mm"}
 TOLERANT_PATTERNS = {"12h": "M/d/yyyy h:m", "24h": "M/d/yyyy H:m"}
 LEADING_TIME = {
-    "12h": r"^\s*(\d{1,2}/\d{1,2}/\d{4} (?:0?[1-9]|1[0-2]):\d{1,2})",
-    "24h": r"^\s*(\d{1,2}/\d{1,2}/\d{4} (?:[01]?\d|2[0-3]):\d{1,2})",
+    "12h": r"^\s*(\d{1,2}/\d{1,2}/\d{4} +(?:0?[1-9]|1[0-2]):\d{1,2})(?!\d)",
+    "24h": r"^\s*(\d{1,2}/\d{1,2}/\d{4} +(?:[01]?\d|2[0-3]):\d{1,2})(?!\d)",
 }
 
 
 def parse_visit_ts(c, clock="12h", tolerant=True):
     """Timestamp of a visit-time string, NULL where it does not parse.
 
-    ``tolerant`` reads what Spark 2's parser read: unpadded fields, leading
-    spaces, anything after the minutes. Years need four digits. Text without a
+    ``tolerant`` reads what Spark 2's parser read: unpadded fields, leading and
+    several spaces, anything but a digit after the minutes. Years need four digits. Text without a
     time on this clock is NULL before it reaches the parser, as a failed parse
     costs several times a good one.
     """
     c = F.col(c) if isinstance(c, str) else c
     if tolerant:
-        c = F.nullif(F.regexp_extract(c, LEADING_TIME[clock], 1), F.lit(""))
+        found = F.regexp_extract(c, LEADING_TIME[clock], 1)
+        c = F.nullif(F.regexp_replace(found, " +", " "), F.lit(""))
     pattern = (TOLERANT_PATTERNS if tolerant else STRICT_PATTERNS)[clock]
     return F.try_to_timestamp(c, F.lit(pattern))
 
@@ -36,9 +39,10 @@ def parse_visit_ts(c, clock="12h", tolerant=True):
 def with_time_parts(df, ts, year=None, month=None, hour=None):
     """Append integer parts of timestamp expression ``ts`` under the names given."""
     parts = [(year, F.year), (month, F.month), (hour, F.hour)]
+    moment = free_name(df.columns, "_ts")
     return (
-        df.withColumn("_ts", ts)
-        .select(*df.columns, *[part("_ts").alias(name) for name, part in parts if name])
+        df.withColumn(moment, ts)
+        .select(*df.columns, *[part(moment).alias(name) for name, part in parts if name])
     )
 
 

@@ -16,16 +16,21 @@ from visitlog.plans.export import export_batches, export_cells  # noqa: E402
 from visitlog.plans.quality import clean_counts  # noqa: E402
 from visitlog.plans.refine import refine_to_table  # noqa: E402
 from visitlog.plans.report import shared_analysis_results, shared_chart_results  # noqa: E402
-from visitlog.session import get_session, release  # noqa: E402
+from visitlog.schema import REFINED_COLUMNS  # noqa: E402
+from visitlog.session import close_run, get_session, release  # noqa: E402
 from visitlog.sinks.csvfiles import export_csv  # noqa: E402
 from visitlog.sinks.publish import publish_all  # noqa: E402
 from visitlog.sources.delimited import read_positional_csv  # noqa: E402
-from visitlog.sources.landing import land_if_absent  # noqa: E402
+from visitlog.sources.landing import land_csv_if_absent, land_if_absent  # noqa: E402
 from visitlog.sources.tables import read_refined  # noqa: E402
 
 
 def land_job(spark, args):
-    landed = land_if_absent(spark.read.text(args.log), args.output)
+    if args.rfc4180:
+        line_sep = None if args.crlf else "\n"
+        landed = land_csv_if_absent(spark, args.log, args.output, line_sep=line_sep)
+    else:
+        landed = land_if_absent(spark.read.text(args.log), args.output)
     print("landed" if landed else "already there")
 
 
@@ -51,9 +56,11 @@ def export_job(spark, args):
     visits = read_refined(spark, args.table)
     clean_counts(visits).show()
     if args.pages:
-        pages = export_batches(visits, args.clock)
-        export_csv(pages, args.output)
-        release(pages)
+        order, staged = None if args.stored_order else REFINED_COLUMNS, []
+        try:
+            export_csv(export_batches(visits, args.clock, order, staged=staged), args.output)
+        finally:
+            release(spark, staged)
     else:
         export_csv(export_cells(visits, args.clock), args.output)
 
@@ -71,16 +78,23 @@ def parse(argv):
 
     needed, flag = {"required": True}, {"action": "store_true"}
     clock = {"choices": ["12h", "24h"], "default": "12h"}
-    step(land_job, log=needed, output=needed)
+    step(land_job, log=needed, output=needed, rfc4180=flag, crlf=flag)
     step(refine_job, log=needed, table=needed, format={"default": "orc"}, compact=flag, rfc4180=flag)
     step(analyze_job, table=needed, output=needed, clock=clock, charts=flag)
-    step(export_job, table=needed, output=needed, clock=clock, pages=flag)
+    step(
+        export_job, table=needed, output=needed, clock=clock, pages=flag,
+        **{"stored-order": flag | {"help": "number pages in stored order: no sort, no shuffle"}},
+    )
     return parser.parse_args(argv)
 
 
 def main(argv=None):
     args = parse(argv)
-    args.job(get_session(hive=args.hive), args)
+    spark = get_session(hive=args.hive)
+    try:
+        args.job(spark, args)
+    finally:
+        close_run(spark)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from visitlog.functions.predicates import all_of, not_null
+from visitlog.functions.predicates import all_of, is_null, not_null
 
 
 def percent(part, total, digits=4):
@@ -46,7 +46,7 @@ def _null_rows(columns):
 
 
 def _nulls_per_column(columns):
-    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    return [F.count_if(is_null(c)).alias(c) for c in columns]
 
 
 def null_row_counts(df, columns=None):

@@ -10,6 +10,7 @@ counts gives each partition its offset.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from visitlog.operators.names import free_name
 from visitlog.schema import PAGE_SIZE
 from visitlog.session import release, stage
 
@@ -17,7 +18,7 @@ from visitlog.session import release, stage
 PLACE_BITS = 33
 
 
-def number_rows(df, order_by=None, unique=False, name="row_number"):
+def number_rows(df, order_by=None, unique=False, name="row_number", staged=None):
     """Append a gapless 1-based number as a long.
 
     ``order_by`` lists columns (sorted ascending, NULLs first). Without it rows
@@ -25,54 +26,69 @@ def number_rows(df, order_by=None, unique=False, name="row_number"):
 
     Unless ``unique`` says that no two rows agree on ``order_by``, the rows get
     a stored tie-break first. The range sort can then split a run of equal keys
-    over many tasks, even if it is a third of all rows.
+    over many tasks, even if it is a third of all rows. ``unique`` is trusted:
+    if it is wrong, a run of equal keys is one task's, in any order.
 
-    The numbered rows read a staged copy in the shared folder; once they are
-    written elsewhere, ``release`` deletes it.
+    The numbered rows read staged copies in the shared folder, whose paths are
+    added to the list ``staged``; once the rows are written elsewhere,
+    ``release(spark, staged)`` deletes the copies.
     """
-    columns = df.columns
-    tied = None
-    if order_by:
-        keys = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
-        if not unique:
-            df = tied = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
-            keys.append(F.col("_tie"))
-        df = df.orderBy(*keys).select(*columns)
-    placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "placed")
-    if tied is not None:
-        release(tied)
-    partition = F.shiftrightunsigned("_place", PLACE_BITS).alias("_partition")
-    within = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    spark, columns, made = df.sparkSession, df.columns, []
+    tie, place, partition, count, offset = [
+        free_name([*columns, name], n) for n in ("_tie", "_place", "_partition", "_rows", "_offset")
+    ]
+    try:
+        ties = []
+        if order_by:
+            keys = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
+            if not unique:
+                df = stage(df.withColumn(tie, F.monotonically_increasing_id()), "ties", made)
+                ties = list(made)
+                keys.append(F.col(tie))
+            df = df.orderBy(*keys).select(*[F.col(f"`{c}`") for c in columns])
+        placed = stage(df.withColumn(place, F.monotonically_increasing_id()), "placed", made)
+        if ties:
+            made.remove(ties[0])
+            release(spark, ties)
+        part = F.shiftrightunsigned(place, PLACE_BITS).alias(partition)
+        within = F.col(place).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
-    # One row per task of the write above, so the window is bounded by the number
-    # of tasks in a job. Stored, the offsets have a size that Spark knows before
-    # it plans the join: it broadcasts them below its threshold, else it shuffles.
-    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(
-        placed.groupBy(partition)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
-        "offsets",
-    )
+        # One row per task of the write above, so the window is bounded by the number
+        # of tasks in a job. Stored, the offsets have a size that Spark knows before
+        # it plans the join: it broadcasts them below its threshold, else it shuffles.
+        before = Window.orderBy(partition).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = stage(
+            placed.groupBy(part)
+            .agg(F.count(F.lit(1)).alias(count))
+            .select(partition, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(offset)),
+            "offsets",
+            made,
+        )
+    except Exception:
+        release(spark, made)
+        raise
+    if staged is not None:
+        staged += made
     return (
-        placed.withColumn("_partition", partition)
-        .join(offsets, "_partition")
-        .select(*columns, (F.col("_offset") + within + 1).alias(name))
+        placed.withColumn(partition, part)
+        .join(offsets, partition)
+        .select(*[F.col(f"`{c}`") for c in columns], (F.col(offset) + within + 1).alias(name))
     )
 
 
-def assign_batches(df, order_by=None, size=PAGE_SIZE, unique=False):
+def assign_batches(df, order_by=None, size=PAGE_SIZE, unique=False, staged=None):
     """Append the page layout of a sheet whose first row is the header.
 
     ``sheet_row`` is the row's place on the sheet, ``batch_id`` its page from 0
     and ``start_row`` the sheet row where that page starts. Page 0 holds the
     header and ``size - 1`` rows.
     """
-    numbered = number_rows(df, order_by, unique, "_number")
-    batch = F.expr(f"_number div {int(size)}")
+    number = free_name(df.columns, "_number")
+    numbered = number_rows(df, order_by, unique, number, staged)
+    batch = F.expr(f"{number} div {int(size)}")
     return numbered.select(
-        *df.columns,
-        (F.col("_number") + 1).alias("sheet_row"),
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col(number) + 1).alias("sheet_row"),
         batch.alias("batch_id"),
         (batch * size + 1).alias("start_row"),
     )

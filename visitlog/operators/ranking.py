@@ -5,23 +5,26 @@ merge of k rows per partition. Ties are broken by named columns so that a
 result is repeatable.
 """
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from visitlog.operators.counting import group_counts
+from visitlog.operators.names import free_name
 
 
 def _ordered_by_key(df, key, order, tie_break, k, null_keys):
+    name = free_name(df.columns, "_key")
     # The key is a column of its own so that it is computed once per row, not
     # once per comparison.
     ties = [F.col(c).asc_nulls_first() for c in tie_break or df.columns]
     top = (
-        df.withColumn("_key", F.col(key) if isinstance(key, str) else key)
-        .orderBy(order, *ties)
+        df.withColumn(name, F.col(key) if isinstance(key, str) else key)
+        .orderBy(order(F.col(name)), *ties)
         .limit(k)
     )
     # Above the limit this drops what sorted last, without a second
     # computation of the key for every row.
-    return (top if null_keys else top.filter(F.col("_key").isNotNull())).select(*df.columns)
+    return (top if null_keys else top.filter(F.col(name).isNotNull())).select(*df.columns)
 
 
 def earliest(df, key, k=1, tie_break=None, null_keys=True):
@@ -29,13 +32,13 @@ def earliest(df, key, k=1, tie_break=None, null_keys=True):
 
     A NULL key counts as smallest; ``null_keys=False`` leaves such rows out.
     """
-    order = F.col("_key").asc_nulls_first() if null_keys else F.col("_key").asc_nulls_last()
+    order = Column.asc_nulls_first if null_keys else Column.asc_nulls_last
     return _ordered_by_key(df, key, order, tie_break, k, null_keys)
 
 
 def latest(df, key, k=1, tie_break=None, null_keys=True):
     """Rows with the ``k`` largest keys; NULL as for :func:`earliest`."""
-    return _ordered_by_key(df, key, F.col("_key").desc_nulls_last(), tie_break, k, null_keys)
+    return _ordered_by_key(df, key, Column.desc_nulls_last, tie_break, k, null_keys)
 
 
 def earliest_and_latest(df, key):
@@ -44,9 +47,10 @@ def earliest_and_latest(df, key):
     One row with structs ``earliest`` and ``latest``, each NULL if there are no
     rows. A NULL key counts as smallest.
     """
-    rows = df.withColumn("_key", key)
-    up = F.struct("_key", *df.columns)
-    down = F.struct(F.col("_key").isNull().alias("_none"), (-F.col("_key")).alias("_key"), *df.columns)
+    name, none = free_name(df.columns, "_key"), free_name(df.columns, "_none")
+    rows = df.withColumn(name, key)
+    up = F.struct(name, *df.columns)
+    down = F.struct(F.col(name).isNull().alias(none), (-F.col(name)).alias(name), *df.columns)
 
     def first(order):
         smallest = F.min(order)

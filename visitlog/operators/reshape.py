@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from visitlog.functions.predicates import is_null
 from visitlog.functions.text import cell
 from visitlog.schema import positional_name
 
@@ -21,7 +22,7 @@ def select_positions(df, names_by_position, keep=()):
 
 def null_flags(df):
     """Every column replaced by 1 where it is NULL, else 0."""
-    return df.select(*[F.col(c).isNull().cast("int").alias(c) for c in df.columns])
+    return df.select(*[is_null(c).cast("int").alias(c) for c in df.columns])
 
 
 def stringify_cells(df, columns=None):

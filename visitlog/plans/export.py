@@ -23,6 +23,13 @@ def export_cells(visits, clock="12h"):
     return stringify_cells(visits_export(visits, clock), (*REFINED_COLUMNS, *EXPORT_PARTS))
 
 
-def export_batches(visits, clock="12h", order_by=None, size=PAGE_SIZE, unique=False):
-    """The export as text cells with its page layout."""
-    return assign_batches(export_cells(visits, clock), order_by, size, unique)
+def export_batches(visits, clock="12h", order_by=None, size=PAGE_SIZE, unique=False, staged=None):
+    """The export as text cells with its page layout.
+
+    Cleaned rows are sorted and numbered first; times are parsed and cells made on
+    the numbered rows, once per row. ``staged`` as for ``number_rows``.
+    """
+    cleaned = clean(visits, complete=REFINED_COLUMNS)
+    pages = assign_batches(cleaned, order_by, size, unique, staged)
+    cells = stringify_cells(add_visit_parts(pages, clock), (*REFINED_COLUMNS, *EXPORT_PARTS))
+    return cells.select(*cleaned.columns, *EXPORT_PARTS, *pages.columns[len(cleaned.columns) :])

@@ -11,7 +11,7 @@ from visitlog.functions.predicates import (
 )
 from visitlog.operators.counting import counted, percent, split_counts
 from visitlog.operators.reshape import preview
-from visitlog.schema import RECEPTION_PATTERN, REQUIRED_FOR_EXPORT
+from visitlog.schema import RECEPTION_PATTERN, REQUIRED_FOR_EXPORT, SAMPLE_COLUMNS
 
 
 def missing_purpose_rate(visits, column="info_comment", weight=None):
@@ -25,9 +25,7 @@ def missing_purpose_rate(visits, column="info_comment", weight=None):
 
 def missing_purpose_sample(visits, k=10, order_by=None, column="info_comment"):
     """``k`` visitors without a purpose; give ``order_by`` for a repeatable choice."""
-    return preview(visits.filter(is_empty(column)), k, order_by).select(
-        "fname", "lname", "time_of_arrival", "meeting_location"
-    )
+    return preview(visits.filter(is_empty(column)), k, order_by).select(*SAMPLE_COLUMNS)
 
 
 def _is_clean(visits, required, complete):

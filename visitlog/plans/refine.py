@@ -13,7 +13,8 @@ from visitlog.schema import (
     VISITEE_POSITION,
     positional_name,
 )
-from visitlog.sinks.tables import save_refined
+from visitlog.session import release, stage
+from visitlog.sinks.tables import save_refined, verify_written
 
 _VISITEE_COLUMN = positional_name(VISITEE_POSITION)
 
@@ -36,26 +37,28 @@ def refine_counts(raw, visitee=VISITEE):
 def refine_to_table(raw, table, visitee=VISITEE, fmt="orc", compact=False, path=None):
     """Refine ``raw`` into ``table``; one row of counters, written rows included.
 
-    Without ``compact`` the write is a single stage, and the raw and kept rows
-    are observed in it, so the log is read once. With ``compact`` the write
-    shuffles; a lost executor could make observed map tasks count twice, so the
-    counters come from an aggregate of their own.
+    The log is read once: raw and kept rows are observed in the single narrow
+    stage that writes the kept ones. With ``compact`` that stage writes them to
+    the shared folder, and they are rebalanced from there. ``complete`` says
+    whether the table holds the kept rows, in the columns expected.
     """
     spark = raw.sparkSession
+    seen, kept = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("n")
+    refined = refine(raw.observe(seen, rows), visitee).observe(kept, rows)
     if compact:
-        save_refined(refine(raw, visitee), table, fmt, compact, path)
-        counts = refine_counts(raw, visitee)
+        staged = []
+        try:
+            save_refined(stage(refined, "kept", staged), table, fmt, compact, path)
+        finally:
+            release(spark, staged)
     else:
-        seen, kept = Observation(), Observation()
-        rows = F.count(F.lit(1)).alias("n")
-        save_refined(refine(raw.observe(seen, rows), visitee).observe(kept, rows), table, fmt, path=path)
-        n_raw, n_kept = seen.get["n"], kept.get["n"]
-        counts = spark.range(1).select(
-            F.lit(n_raw).cast("long").alias("raw_rows"),
-            F.lit(n_kept).cast("long").alias("kept_rows"),
-            F.lit(n_raw - n_kept).cast("long").alias("filtered_out"),
-        )
-    written = spark.read.table(table).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.withColumn("written_rows", written).withColumn(
-        "complete", F.col("written_rows") == F.col("kept_rows")
+        save_refined(refined, table, fmt, path=path)
+    n_raw, n_kept = seen.get["n"], kept.get["n"]
+    return verify_written(spark, table, n_kept, refined.schema).select(
+        F.lit(n_raw).cast("long").alias("raw_rows"),
+        F.lit(n_kept).cast("long").alias("kept_rows"),
+        F.lit(n_raw - n_kept).cast("long").alias("filtered_out"),
+        "written_rows",
+        (F.col("rows_match") & F.col("schema_matches")).alias("complete"),
     )

@@ -23,7 +23,7 @@ def analysis_results(visits, clock="12h"):
         "null_rows": null_row_counts(visits),
         "null_counts": null_counts(visits),
         "missing_purpose_rate": quality.missing_purpose_rate(visits),
-        "missing_purpose_sample": quality.missing_purpose_sample(visits),
+        "missing_purpose_sample": quality.missing_purpose_sample(visits, order_by=visits.columns),
     }
 
 

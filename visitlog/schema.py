@@ -17,6 +17,7 @@ REFINED_POSITIONS = {
 EXPORT_PARTS = ("visit_year", "visit_month", "visit_hour")
 REQUIRED_FOR_EXPORT = ("lname", "fname", "time_of_arrival", "info_comment")
 RECEPTION_PATTERN = "GEN.*RECEP|GENERAL.*RECEPTION"
+SAMPLE_COLUMNS = ("fname", "lname", "time_of_arrival", "meeting_location")
 PAGE_SIZE = 1000
 
 REFINED_COLUMNS = tuple(REFINED_POSITIONS.values())

@@ -3,16 +3,20 @@
 from visitlog.schema import RAW_WIDTH, positional_schema
 
 
-def read_positional_csv(spark, path, width=RAW_WIDTH, sep=",", rfc4180=False):
+def read_positional_csv(spark, path, width=RAW_WIDTH, sep=",", rfc4180=False, line_sep=None):
     """All-string frame ``_c0 .. _c{width-1}`` of a headerless file.
 
     Longer rows are cut at ``width``, shorter ones padded with NULL, and both
     quoted and unquoted empty fields are NULL. ``rfc4180`` reads doubled quotes
-    and quoted line breaks; it makes each file one task, so it is opt-in.
+    and quoted line breaks; it makes each file one task, so it is opt-in. Records
+    end at any line break unless ``line_sep`` names it; only then do other line
+    breaks within cells come back as they are.
     """
     reader = spark.read.schema(positional_schema(width)).option("header", False).option("sep", sep)
     if rfc4180:
         reader = reader.option("escape", '"').option("multiLine", True)
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
     return reader.csv(path)
 
 
@@ -27,5 +31,6 @@ def read_exported_csv(spark, path, schema, multi_line=False):
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("lineSep", "\n")
         .csv(path)
     )
