@@ -5,6 +5,7 @@ from visitlog.llm.decontaminate import contamination
 from visitlog.llm.language import predict_languages
 from visitlog.llm.lm import score_documents
 from visitlog.llm.neardup import link_duplicates
+from visitlog.llm.oracle import ORACLE
 from visitlog.llm.packing import pack_documents
 from visitlog.llm.pii import pseudonymize
 from visitlog.llm.quality import quality_report
@@ -12,6 +13,8 @@ from visitlog.llm.sharding import shard_documents
 from visitlog.llm.tokens import count_tokens
 from visitlog.llm.warc import capture_pages
 
+__all__ = ["ORACLE", "QUERIES"]
+
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,5 +38,3 @@ QUERIES = {
     "op9_quality_rules": _over("documents", quality_report),
     "op10_language_id": _over("documents", predict_languages),
 }
-
-ORACLE = {}
