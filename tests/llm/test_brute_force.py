@@ -44,6 +44,7 @@ def chain(n, length=60, step=3):
 def test_chains_and_dense_groups(spark, monkeypatch):
     # Small blocks, so that hot buckets are cut.
     monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "SET_BLOCK", 3)
     base = [f"b{i}" for i in range(80)]
     dense = [(100 + i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(40)]
     other = [f"b{i}" if i < 66 else f"c{i}" for i in range(80)]

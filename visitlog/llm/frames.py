@@ -23,7 +23,11 @@ def partitions(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def batches_of(schema_names, arrays):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays(arrays, schema_names)
+def bounded_batches(df, most=4 << 20):
+    """Have Spark hand rows to Python in batches of at most ``most`` bytes, or one row.
+
+    The session's default is 64 MB: with long texts, copies of a batch on both sides
+    would outgrow small executors. A smaller setting of the session is left alone."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(name).rstrip("b")) > most:
+        conf.set(name, str(most))

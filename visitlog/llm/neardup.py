@@ -16,11 +16,17 @@ Large groups of copies are not expanded into pairs:
 2. In each bucket (classes with a key in common) all classes are paired with the
    smallest id only, and each class is confirmed against the nearest of those.
    Confirmed links join most copies of a group in one component.
-3. In buckets that still hold more than one component, every pair from different
-   components within the radius is confirmed. A hot bucket is cut into blocks of
-   at most ``BLOCK`` classes, and only classes outside the component of the
-   bucket's leader go to all blocks.
-4. Components of all confirmed links.
+3. In buckets that still hold more than one component, classes of different
+   components within the radius are compared by signature. Each bucket tells only
+   how they hang together (a forest, never all pairs); buckets together give
+   regions of classes that may be linked.
+4. Each region is sent to tasks with the full sets of its classes, each once per
+   block, and all pairs of different components are confirmed there by counting
+   common shingles for many classes at once. Only links that join two components
+   are given out.
+
+A hot bucket or region is cut into blocks, and pairs of blocks are compared; only
+classes outside its main component go to all blocks.
 
 Links are confirmed on the full sets (64-bit hashes of the shingles). Only texts
 of classes that share a bucket are fetched again for that.
@@ -40,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlog.llm.components import connected_components
-from visitlog.llm.frames import HASH, MERGE, free_name
+from visitlog.llm.frames import HASH, MERGE, bounded_batches, free_name
 from visitlog.llm.words import hash_words, mix, random_words, row_slices, text_bytes
 from visitlog.session import stage
 
@@ -48,7 +54,8 @@ SHINGLE = 5
 PERCENT = 75
 SYMBOLS, BITS, CHUNK, ERRORS = 40, 16, 5, 2
 RADIUS = SYMBOLS // CHUNK * (ERRORS + 1) - 1
-BLOCK = 1024
+# Classes per block, by signature and with their sets.
+BLOCK, SET_BLOCK = 1024, 512
 
 _FACTORS = random_words(SHINGLE + 1, 1) | np.uint64(1)
 _SCALES, _SHIFTS = random_words(SYMBOLS, 2) | np.uint64(1), random_words(SYMBOLS, 3)
@@ -150,46 +157,89 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def _compare(batches):
-    """Pairs within the radius, from different components and blocks that are compared.
-
-    Rows come sorted by ``key, first, second``, one such group after another."""
+def _groups(batches):
+    """Runs of rows that agree on ``key, first, second``, as tables; rows come sorted by them."""
     held, group = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "first", "second")]
+        cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], axis=0)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            this = tuple(x[begin] for x in ids)
+            if held and this != group:
+                yield group[1] != group[2], pa.Table.from_batches(held).combine_chunks()
+                held = []
+            group = this
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield group[1] != group[2], pa.Table.from_batches(held).combine_chunks()
+
+
+def _codes(table):
+    """The rows' components as small numbers."""
+    return table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+
 
-    def pairs():
-        rows = pa.Table.from_batches(held)
-        symbols, codes = _symbols(rows.column("signature")), rows.column("component").dictionary_encode()
-        codes = codes.combine_chunks().indices.to_numpy()
-        mine = rows.column("block").to_numpy()
-        across = group[1] != group[2]
-        left, right = [], []
+def _joined(labels, i, others):
+    """Of ``others``, one for each label that is not yet that of ``i``; they get it."""
+    found, first = np.unique(labels[others], return_index=True)
+    new = found != labels[i]
+    if new.any():
+        labels[np.isin(labels, found[new])] = labels[i]
+    return others[first[new]]
+
+
+def _compare(batches):
+    """How the classes of each bucket hang together within the radius, across components."""
+    for across, rows in _groups(batches):
+        if rows.num_rows < 2:
+            continue
+        symbols, codes = _symbols(rows.column("signature")), _codes(rows)
+        block, labels, left, right = rows.column("block").to_numpy(), np.arange(rows.num_rows), [], []
         for i in range(len(symbols) - 1):
             other = codes[i + 1 :] != codes[i]
             if across:
-                other &= mine[i + 1 :] != mine[i]
+                other &= block[i + 1 :] != block[i]
             at = np.flatnonzero(other) + i + 1
             if len(at):
                 at = at[(symbols[at] != symbols[i]).sum(1) <= RADIUS]
-                left += [i] * len(at)
-                right += at.tolist()
+                new = _joined(labels, i, at)
+                left += [i] * len(new)
+                right += new.tolist()
         nodes = rows.column("node").combine_chunks()
-        return nodes.take(pa.array(left, pa.int64())), nodes.take(pa.array(right, pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [nodes.take(pa.array(left, pa.int64())), nodes.take(pa.array(right, pa.int64()))], ["a", "b"]
+        )
 
-    for batch in batches:
-        if not batch.num_rows:
+
+def _confirm_regions(batches):
+    """Components of each region's block pair that a confirmed link joins."""
+    for across, rows in _groups(batches):
+        if rows.num_rows < 2:
             continue
-        ids = np.stack([batch.column(c).to_numpy() for c in ("key", "first", "second")])
-        cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(0)) + 1
-        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-            this = tuple(ids[:, begin])
-            if held and this != group:
-                if sum(h.num_rows for h in held) > 1:
-                    yield pa.RecordBatch.from_arrays(list(pairs()), ["x", "y"])
-                held = []
-            group = this
-            held.append(batch.slice(begin, end - begin))
-    if held and sum(h.num_rows for h in held) > 1:
-        yield pa.RecordBatch.from_arrays(list(pairs()), ["x", "y"])
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("shingles").combine_chunks()]
+        sizes = np.array([len(x) for x in sets])
+        starts = np.cumsum(sizes) - sizes
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        labels, block = _codes(rows).astype(np.int64), rows.column("block").to_numpy()
+        mine, left, right = np.zeros(len(names), bool), [], []
+        main = np.bincount(labels).argmax()
+        for i in np.flatnonzero(labels != main):
+            own = flat[starts[i] : starts[i] + sizes[i]]
+            mine[own] = True
+            both = np.add.reduceat(mine[flat].astype(np.int32), starts)
+            mine[own] = False
+            linked = (labels != labels[i]) & (100 * both >= PERCENT * (sizes[i] + sizes - both))
+            if across:
+                linked &= block != block[i]
+            new = _joined(labels, i, np.flatnonzero(linked))
+            left += [i] * len(new)
+            right += new.tolist()
+        components = rows.column("component").combine_chunks()
+        yield pa.RecordBatch.from_arrays(
+            [components.take(pa.array(left, pa.int64())), components.take(pa.array(right, pa.int64()))], ["a", "b"]
+        )
 
 
 def _schema(id_type, /, **others):
@@ -199,6 +249,7 @@ def _schema(id_type, /, **others):
 
 def sign(docs, id_col="doc_id", text_col="text"):
     """``doc_id``, ``n_shingles``, a digest of the set and the signature of each row; narrow."""
+    bounded_batches(docs)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     node = rows.schema["doc_id"].dataType
     schema = _schema(node, doc_id="node", n_shingles=T.LongType(), digest=T.BinaryType(), signature=T.BinaryType())
@@ -222,48 +273,76 @@ def _confirmed(pairs, sets, node):
     return joined.mapInArrow(_confirm, _schema(node, a="node", b="node"))
 
 
-def _open_pairs(star, known, signed, node):
-    """Pairs within the radius from buckets of three or more classes that hold more
-    than one component."""
-    named = known.select("node", "component")
-    own = F.coalesce("component", "node")
-    in_star = star.filter("members > 2").join(named, "node", "left").withColumn("of_node", own).drop("component")
-    leaders = named.select(F.col("node").alias("leader"), "component")
-    in_star = in_star.join(leaders, "leader", "left").withColumn("of_leader", F.coalesce("component", "leader"))
-    in_star = in_star.select("key", "leader", "node", "of_node", "of_leader")
+def _in_blocks(members, groups, size):
+    """Rows of ``key, node, component`` dealt out to pairs of blocks of their group.
+
+    ``groups`` has ``key``, the ``main`` component, and how many rows of the group
+    are in it (``n_in``) and outside (``n_out``). Blocks of the main component meet
+    those outside, and those meet each other."""
+    joined = members.join(groups, "key")
+    blocks_in = F.ceil(F.col("n_in") / size).cast("int")
+    blocks_out = F.ceil(F.col("n_out") / size).cast("int")
+    within, spread = F.col("component") == F.col("main"), F.xxhash64("node")
+    block = F.when(within, F.pmod(spread, blocks_in)).otherwise(blocks_in + F.pmod(spread, blocks_out)).cast("int")
+    met = F.when(within, F.sequence(blocks_in, blocks_in + blocks_out - 1)).otherwise(
+        F.sequence(F.lit(0), blocks_in + blocks_out - 1)
+    )
+    return joined.withColumn("block", block).withColumn("met", F.explode(met)).select(
+        "key", F.least("block", "met").alias("first"), F.greatest("block", "met").alias("second"), "block", "node",
+        "component",
+    )
+
+
+def _by_group(dealt):
+    return dealt.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
+
+
+def _regions(star, near, known, signed, node):
+    """``(node, component, key)`` of classes that may still be linked with classes of
+    another component; ``key`` names their region."""
+    of_node = known.select("node", F.col("component").alias("of_node"))
+    of_leader = known.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
+
+    def with_components(pairs):
+        return (
+            pairs.join(of_node, "node", "left")
+            .join(of_leader, "leader", "left")
+            .withColumns({"of_node": F.coalesce("of_node", "node"), "of_leader": F.coalesce("of_leader", "leader")})
+        )
+
+    # A bucket of two has only the pair with its leader.
+    in_star = with_components(star.filter("members > 2").select("key", "leader", "node"))
     outside = F.col("of_node") != F.col("of_leader")
     mixed = (
         in_star.groupBy("key")
-        .agg(F.count_if(outside).alias("n_out"), (F.count_if(~outside) + 1).alias("n_in"), F.min("leader").alias("leader"),
-             F.min("of_leader").alias("of_leader"))
+        .agg(F.count_if(outside).alias("n_out"), (F.count_if(~outside) + 1).alias("n_in"),
+             F.min("leader").alias("leader"), F.min("of_leader").alias("main"))
         .filter("n_out > 0")
     )
     mixed = stage(mixed, "mixed")
-    members = in_star.select("key", "node", F.col("of_node").alias("component")).join(mixed, "key")
-    members = members.unionByName(
-        mixed.withColumn("node", F.col("leader")).withColumn("component", F.col("of_leader")).select(*members.columns)
-    ).distinct()
-    blocks_in, blocks_out = [F.ceil(F.col(n) / BLOCK).cast("int") for n in ("n_in", "n_out")]
-    within = F.col("component") == F.col("of_leader")
-    spread = F.xxhash64("node")
-    block = F.when(within, F.pmod(spread, blocks_in)).otherwise(blocks_in + F.pmod(spread, blocks_out)).cast("int")
-    # Blocks inside the leader's component meet those outside; those meet each other too.
-    met = F.when(within, F.sequence(blocks_in, blocks_in + blocks_out - 1)).otherwise(
-        F.sequence(F.lit(0), blocks_in + blocks_out - 1)
-    )
-    dealt = (
-        members.withColumn("block", block)
-        .withColumn("met", F.explode(met))
-        .select("key", F.least("block", "met").alias("first"), F.greatest("block", "met").alias("second"), "block",
-                "node", "component")
-        .join(signed.select("node", "signature"), "node")
-        .repartition("key", "first", "second")
-        .sortWithinPartitions("key", "first", "second")
+    members = in_star.select("key", "node", F.col("of_node").alias("component"))
+    led = mixed.select("key", F.col("leader").alias("node"), F.col("main").alias("component"))
+    dealt = _in_blocks(members.unionByName(led), mixed.drop("leader"), BLOCK).join(signed, "node")
+    within_buckets = _by_group(dealt).mapInArrow(_compare, _schema(node, a="node", b="node"))
+    with_leaders = with_components(near.select(F.col("a").alias("leader"), F.col("b").alias("node"))).filter(outside)
+    edges = within_buckets.unionAll(with_leaders.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    found = connected_components(edges.distinct()).select("node", F.col("component").alias("key"))
+    return found.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _late_links(regions, sets, node):
+    """Pairs of components that links within the regions join."""
+    regions = stage(regions, "regions")
+    sizes = regions.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    groups = (
+        sizes.groupBy("key")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_in"),
+             F.sum("n").alias("n"))
+        .select("key", "main", "n_in", (F.col("n") - F.col("n_in")).alias("n_out"))
+        .filter("n_out > 0")
     )
-    found = dealt.select("key", "first", "second", "block", "node", "component", "signature").mapInArrow(
-        _compare, _schema(node, x="node", y="node")
-    )
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    dealt = _in_blocks(regions, groups, SET_BLOCK).join(sets.hint(MERGE), "node")
+    return _by_group(dealt).mapInArrow(_confirm_regions, _schema(node, a="node", b="node"))
 
 
 def link_duplicates(docs, id_col="doc_id", text_col="text"):
@@ -297,17 +376,7 @@ def link_duplicates(docs, id_col="doc_id", text_col="text"):
     links = _confirmed(nearest, sets, node).unionAll(repeated)
     known = connected_components(links)
 
-    open_pairs = _open_pairs(star, known, signed, node).unionAll(near.select("a", "b"))
-    of_a = known.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-    of_b = known.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
-    apart = (
-        open_pairs.join(of_a, "a", "left")
-        .join(of_b, "b", "left")
-        .withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")})
-        .filter("of_a != of_b")
-    )
-    apart = stage(apart.distinct(), "open")
-    late = _confirmed(apart, sets, node).join(apart, ["a", "b"]).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    late = _late_links(_regions(star, near, known, signed, node), sets, node)
     joined = connected_components(late).select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
     # Nodes that only the late links name stand for themselves so far.
