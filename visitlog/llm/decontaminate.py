@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import free_name
+from visitlog.llm.frames import bounded_batches, free_name
 from visitlog.llm.words import LOWER, PUNCTUATION, hash_words, mix, row_slices, text_bytes
 
 WINDOW = 10
@@ -120,6 +120,7 @@ def find_benchmark(docs, benchmark, text_col="text", item_col="item_id", item_te
     """``docs`` with the column ``found``: struct of ``n_words``, the hit words as
     ``spans`` (first word, word after the last one; sorted, not overlapping), and
     the sorted distinct ``items`` whose windows occur (as text)."""
+    bounded_batches(docs)
     found = free_name(docs, found)
     kind = T.StructType([
         T.StructField("n_words", T.LongType()),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from visitlog.llm.frames import partitions
+from visitlog.llm.frames import bounded_batches, partitions
 
 CAPACITY = 2048
 BLOCK_ROWS = 4096
@@ -98,6 +98,7 @@ def pack_block(items, capacity=CAPACITY):
 def pack(items, size_col, source_col, cluster_col, carry, capacity=CAPACITY, block_rows=BLOCK_ROWS):
     """One row per piece: the ``carry`` columns and ``piece, start, length, bin_id,
     bin_offset``. ``items`` is read twice: counted, then dealt out."""
+    bounded_batches(items)
     spark = items.sparkSession
     items = items.select(
         *[F.col(f"`{c}`") for c in carry],

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import free_name
+from visitlog.llm.frames import bounded_batches, free_name
 from visitlog.session import stage
 
 KEY = b"surrogates"
@@ -254,6 +254,7 @@ def _entities(batches):
 
 def assign_surrogates(docs, text_col="text", key=KEY):
     """``kind, canonical, attempt, surrogate`` of every entity of the corpus, without collisions."""
+    bounded_batches(docs)
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     entities = texts.mapInArrow(_entities, "kind string, canonical string").distinct()
     drawn = stage(_drawn(entities.withColumn("attempt", F.lit(0)), key), "surrogates")

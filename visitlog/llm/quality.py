@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import free_name
+from visitlog.llm.frames import bounded_batches, free_name
 from visitlog.llm.words import SAME, SPACES, byte_set, hash_words, mix, row_slices, sums_between, text_bytes
 from visitlog.session import stage
 
@@ -83,6 +83,7 @@ def _repeat_words(hashes, bounds):
 
 def with_measures(docs, text_col="text", name="measures"):
     """``docs`` with a struct of the five counts; narrow."""
+    bounded_batches(docs)
     kind = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
     schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 

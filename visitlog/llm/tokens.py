@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import free_name
+from visitlog.llm.frames import bounded_batches, free_name
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -259,6 +259,7 @@ def with_token_counts(docs, text_col="text", vocabulary=VOCABULARY, name="n_toke
 
     ``prefixes`` names a second column for the counts at every prefix (an array
     as long as the text, plus one)."""
+    bounded_batches(docs)
     name = free_name(docs, name)
     added = [T.StructField(name, T.LongType())]
     if prefixes:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import MERGE
+from visitlog.llm.frames import MERGE, bounded_batches
 from visitlog.session import new_shared_path, stage
 
 MIN_REVISIT_BYTES = 1000
@@ -132,6 +132,7 @@ def write_archives(pages, path, min_bytes=MIN_REVISIT_BYTES):
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
+    bounded_batches(pages)
     records = with_revisits(pages, min_bytes).drop("size").mapInArrow(task, "value string")
     records.write.option("lineSep", EOL).option("compression", "gzip").text(path)
 
@@ -201,6 +202,7 @@ def read_records(spark, path, kinds=None, bodies=True):
     The digest of a response is computed from its payload, not taken from a header.
     Without ``bodies`` the bytes themselves are left out."""
     lines = spark.read.option("lineSep", EOL).text(path)
+    bounded_batches(lines)
     lines = lines.select(F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"))
 
     def task(batches):
@@ -255,11 +257,13 @@ def assemble(spark, path, payloads=False):
         .groupBy(F.col("record_id").alias("original_id"))
         .agg(F.first(F.struct("record_id", "headers", "payload_bytes")).alias("original"))
     )
+    # A response looks for itself: a NULL key would send all responses to one task.
+    refers = F.col("capture.refers_to")
     out = (
         main.select(record.alias("capture"))
         .join(sides, F.col("capture.record_id") == F.col("of"), "left")
-        .join(originals, F.col("capture.refers_to") == F.col("original_id"), "left")
-        .select("capture", "request", "metadata", "original")
+        .join(originals, F.coalesce(refers, "capture.record_id") == F.col("original_id"), "left")
+        .select("capture", "request", "metadata", F.when(refers.isNotNull(), F.col("original")).alias("original"))
     )
     if not payloads:
         return out
