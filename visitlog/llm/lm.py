@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlog.llm.frames import MERGE
+from visitlog.llm.frames import MERGE, bounded_batches
 from visitlog.llm.words import hash_words, mix, random_words, row_slices, text_bytes
 from visitlog.session import stage
 
@@ -39,6 +39,8 @@ BEGIN = END + 1
 UNITS = BEGIN + 1
 COMMON = 1 << 17
 RANK, STEPS, NOISE, RATE = 24, 120, 8, 0.05
+# Pairs of units that a training step works on at once; bounds its memory.
+ROWS = 1024
 SMOOTH = 0.1
 # Fixed value: the word that stands for the end of a text among the counts.
 END_WORD = -1
@@ -225,25 +227,26 @@ class LogBilinear:
         two, one = pairs // UNITS, pairs % UNITS
         self.p["bias"] = np.log(frequency).astype(np.float32)
         shift = np.log(noise * frequency).astype(np.float32)
-        drawn = noise * per_pair * frequency
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         # Pairs count by the root of how often they occur, so that rare ones are learnt too.
         weight = 1 / np.sqrt(np.maximum(per_pair, 1))
         scale = 1 / float((weight * per_pair).sum())
         for step in range(1, steps + 1):
-            hidden = self.vectors(two, one)
-            real = 1 / (1 + np.exp(-(hidden @ self.p["units"].T + self.p["bias"] - shift)))
-            error = weight * ((target + drawn) * real - target) * scale
-            back = error @ self.p["units"]
-            grads = {
-                "units": error.T @ hidden,
-                "bias": error.sum(0),
-                "far": self.p["seen"][two].T @ back,
-                "next": self.p["seen"][one].T @ back,
-                "seen": np.zeros_like(self.p["seen"]),
-            }
-            np.add.at(grads["seen"], two, back @ self.p["far"].T)
-            np.add.at(grads["seen"], one, back @ self.p["next"].T)
+            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
+            for begin in range(0, len(pairs), ROWS):
+                part = slice(begin, begin + ROWS)
+                far, near = two[part], one[part]
+                hidden = self.vectors(far, near)
+                real = 1 / (1 + np.exp(-(hidden @ self.p["units"].T + self.p["bias"] - shift)))
+                noised = target[part] + noise * per_pair[part] * frequency
+                error = weight[part] * (noised * real - target[part]) * scale
+                back = error @ self.p["units"]
+                grads["units"] += error.T @ hidden
+                grads["bias"] += error.sum(0)
+                grads["far"] += self.p["seen"][far].T @ back
+                grads["next"] += self.p["seen"][near].T @ back
+                np.add.at(grads["seen"], far, back @ self.p["far"].T)
+                np.add.at(grads["seen"], near, back @ self.p["next"].T)
             for name, grad in grads.items():
                 mean, square = moments[name]
                 mean += 0.1 * (grad - mean)
@@ -291,6 +294,7 @@ def _common(counts, most=COMMON):
 
 def score_documents(docs, id_col="doc_id", text_col="text"):
     """One row per document: ``held_out``, counts, the base score and the model's."""
+    bounded_batches(docs)
     spark = docs.sparkSession
     doc_id = F.col(f"`{id_col}`")
     held_out = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
