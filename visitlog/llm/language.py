@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from visitlog.llm.frames import bounded_batches
+
 UNKNOWN = "und"
 PER_LANGUAGE = 400
 DICTIONARY_BYTES = 1 << 17
@@ -34,11 +36,20 @@ NARROW = 0.01
 def learn_dictionaries(labelled, per_language=PER_LANGUAGE, dictionary_bytes=DICTIONARY_BYTES):
     """``{language: dictionary bytes}`` from a frame of ``doc_id``, ``text``, ``lang``."""
     usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
-    # Spark keeps only the first rows of each language on the map side.
-    first = usable.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language)
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not sizes:
+        return {}
+    # The rows wanted are among those with a hash below a bound that about four times
+    # as many pass, however large the language is: only those are shuffled.
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, 4 * per_language / r.n))])
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / float(1 << 53)
     each = dictionary_bytes // max(1, per_language // 8)
-    rows = first.select("lang", "nth", F.substring("text", 1, each).alias("text")).collect()
+    few = usable.select("lang", "doc_id", place.alias("place"), F.substring("text", 1, each).alias("text")).filter(
+        F.col("place") <= shares[F.col("lang")]
+    )
+    order = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
+    first = few.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language)
+    rows = first.select("lang", "nth", "text").collect()
     texts = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.nth)):
         texts.setdefault(row.lang, []).append(row.text.lower().encode("utf-8", "replace"))
@@ -75,6 +86,7 @@ class CompressionClassifier:
 def identify(docs, dictionaries, text_col="text"):
     """A struct column's worth of ``lang_pred``, ``score`` and ``rejected`` per row,
     beside the columns of ``docs`` but the text; narrow."""
+    bounded_batches(docs)
     kept = [f for f in docs.schema.fields if f.name != text_col]
     schema = docs.select(*[f"`{f.name}`" for f in kept]).schema
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("rejected", "boolean")):
