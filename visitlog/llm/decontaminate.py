@@ -16,8 +16,6 @@ without words (NULL too) matches nothing; repeated rows are judged alike; an
 empty benchmark hits nothing; other columns pass through unchanged.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -201,6 +199,3 @@ def remove_contaminated(docs, benchmark, text_col="text"):
     found = free_name(docs, "found")
     kept = find_benchmark(docs, benchmark, text_col, found=found)
     return kept.filter(F.size(F.col(found)["spans"]) == 0).drop(found)
-
-
-EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()

@@ -1,7 +1,5 @@
 """Small helpers for frames whose other columns are unknown."""
 
-from pyspark.sql import functions as F
-
 # Joins name their method, so that a plan does not change with the input's size.
 MERGE, HASH = "merge", "shuffle_hash"
 
@@ -14,11 +12,6 @@ def free_name(df, wanted):
     return wanted
 
 
-def column(df, name, dtype):
-    """A column by its exact name, cast to ``dtype``."""
-    return F.col(f"`{name}`").cast(dtype)
-
-
 def partitions(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

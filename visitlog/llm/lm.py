@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlog.llm.frames import MERGE, bounded_batches
-from visitlog.llm.words import hash_words, mix, random_words, row_slices, text_bytes
+from visitlog.llm.words import hash_words, random_words, row_slices, text_bytes
 from visitlog.session import stage
 
 HEADS, TAILS = 96, 31
