@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tests.llm import brute
 from visitlog.llm import pii, tokens
 from visitlog.llm.components import connected_components
-from visitlog.llm.lm import BEGIN, END, HEADS, UNITS, LogBilinear
+from visitlog.llm.lm import BEGIN, END, HEADS, TAILS, UNITS, LogBilinear
 from visitlog.llm.packing import BestFit, pack_block
 from visitlog.llm.sharding import jump_hash
 from visitlog.llm.warc import RecordReader
@@ -228,3 +228,35 @@ def test_collisions_are_drawn_anew(spark, monkeypatch):
         assert len({r.text for r in out}) == len(texts)
         want = {r.canonical: r.surrogate for r in drawn}
         assert all(r.text == f"Mr {want[t[3:6].lower()].capitalize()} x" for r, t in zip(sorted(out), texts))
+
+
+def test_words_of_every_language_are_units(spark):
+    from visitlog.llm import lm
+
+    texts = [("a", " ".join(f"hot{i}" for i in range(300))) for _ in range(40)]
+    texts += [("b", " ".join(f"cold{i}" for i in range(90))) for _ in range(25)]
+    texts += [(None, "plain words")] * 30 + [("a", "seldom seen")]
+    rows = spark.createDataFrame(texts, "lang string, text string")
+    counts = lm.count_words(rows)
+
+    def heads(most):
+        found = lm._head_words(counts, most, lm.LEAST)
+        return found.join(counts, "word").groupBy("lang").count().collect()
+
+    # All of them, more than a hundred; and with less room, those of small languages stay.
+    assert {r.lang: r["count"] for r in heads(lm.MOST)} == {"a": 300, "b": 90, None: 2}
+    assert {r.lang: r["count"] for r in heads(200)} == {"b": 90, None: 2}
+
+
+def test_a_large_model_is_normalised():
+    heads = 400
+    units = heads + TAILS + 1
+    rng = np.random.default_rng(5)
+    model = LogBilinear(heads=heads, counts=rng.integers(1, 99, units), sketches=rng.normal(size=(units, 3)))
+    one = rng.integers(0, units, 5000)
+    cells, counts = np.unique(one * (units + 1) + (one * 7 + 3) % units, return_counts=True)
+    model.train(cells, counts)
+    every = np.arange(units)
+    for i in (0, 17, units - 1):
+        logs = model.log_probabilities(np.zeros(units, int), np.full(units, i), every)
+        assert np.isclose(np.exp(logs.astype(float)).sum(), 1, atol=1e-3)

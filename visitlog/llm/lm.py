@@ -1,31 +1,40 @@
 """Scoring texts with a log-bilinear language model trained by noise contrast.
 
-The model predicts units: the ``HEADS`` most frequent words are units of their
-own, all other words share ``TAILS`` units by how they end, and the end of a text
-is one. The two units before a word give, through a matrix per place, a vector;
-its product with the vector of each unit, plus a bias, is the unit's score, and a
-softmax over all units normalises it. Within the unit of other words, a word has
+The model predicts units: every word of at least ``LEAST`` training tokens in a
+language is a unit of its own, so their number grows with the corpus; above
+``MOST`` of them (their vectors are held by every task) each language keeps its
+most frequent words, and languages that need fewer leave their places to others.
+The remaining words share ``TAILS`` units by how they end, and the end of a text
+is one. The two units before a word give, through a matrix per place, a vector.
+
+The softmax over all units is normalised exactly in two products: units are in
+classes of about the root of their number, and a unit's probability is that of
+its class times that of the unit within it, both from the same vector. Classes
+join units that follow alike ones. Within the unit of other words, a word has
 its smoothed share of the unit's corpus counts, unknown words included, so the
 probabilities of all words sum to one.
 
-Word counts and unit trigrams are counted by Spark over the whole training part
-of the corpus, so what is gathered grows with it. The trigram table is the
-sufficient statistic of the model: at most ``UNITS ** 3`` numbers, whatever the
-corpus. From it the noise-contrastive objective is computed with its exact
-expectation over the noise (unit frequencies), and minimised in numpy.
+Word counts are Spark sums over the whole training part of the corpus. Training
+passes over all of its words in ``ROUNDS`` rounds: tasks take noise-contrastive
+steps on batches of their own rows, with noise drawn from class and unit
+frequencies, and Spark averages their parameters after each round.
 
-Counts of the ``COMMON`` most frequent words (a bounded table) go to all tasks;
-the remaining words of each text, with repeats merged, are joined with the full
-table of counts. No word of that join is frequent, and a text's words are summed
-map-side.
+Counts of the ``COMMON`` most frequent words (a bounded table) and of the model's
+own words go to all tasks; the remaining words of each text, with repeats merged,
+are joined with the full table of counts. No word of that join is frequent, and a
+text's words are summed map-side.
 
-Defined cases: NULL text is the empty text, which has its end only; repeated rows
-are trained on and scored one by one; without training rows every word is
-unknown; an empty table gives no rows.
+Defined cases: NULL text is the empty text, which has its end only; NULL language
+is a language, and without that column all texts are of one; repeated rows are
+trained on and scored one by one; without training rows every word is unknown;
+an empty table gives no rows.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +42,24 @@ from visitlog.llm.frames import MERGE, bounded_batches
 from visitlog.llm.words import hash_words, random_words, row_slices, text_bytes
 from visitlog.session import stage
 
+# Places of units in a model of HEADS words; any other number shifts them alike.
 HEADS, TAILS = 96, 31
 END = HEADS + TAILS
 BEGIN = END + 1
 UNITS = BEGIN + 1
+# Words of a model: those of at least LEAST tokens in a language, MOST altogether.
+LEAST, MOST = 20, 1 << 15
 COMMON = 1 << 17
-RANK, STEPS, NOISE, RATE = 24, 120, 8, 0.05
-# Pairs of units that a training step works on at once; bounds its memory.
-ROWS = 1024
+RANK, STEPS, ROUNDS, RATE = 24, 120, 4, 0.05
+# Noise per batch: classes, and units of each class.
+NOISE_CLASSES, NOISE_UNITS = 32, 16
+# Training words altogether: a small corpus is passed over more than once, a large one
+# once; and those of a task.
+WANTED, MOST_PASSES, TASK_WORDS = 20_000_000, 12, 5_000_000
+# Different trigrams of a step, words they are counted over, words scored at once, and
+# values of a parameter row in a shuffle.
+TRAINED, COUNTED, BATCH, SLAB = 1 << 15, 1 << 20, 1 << 16, 1 << 16
+SKETCH = 12
 SMOOTH = 0.1
 # Fixed value: the word that stands for the end of a text among the counts.
 END_WORD = -1
@@ -48,12 +67,12 @@ _SUFFIX = random_words(1 << 16, 4)
 
 
 def tail_units(data, firsts, ends):
-    """The shared unit of each word: by its last two bytes."""
+    """Which of the shared units each word has: by its last two bytes."""
     last = data[ends - 1].astype(np.int64)
     before = np.where(ends - firsts > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.int64)
     low = np.where((last >= 65) & (last <= 90), last + 32, last)
     low_before = np.where((before >= 65) & (before <= 90), before + 32, before)
-    return HEADS + (_SUFFIX[low_before << 8 | low] % np.uint64(TAILS)).astype(np.int64)
+    return (_SUFFIX[low_before << 8 | low] % np.uint64(TAILS)).astype(np.int64)
 
 
 def _words(column):
@@ -70,18 +89,25 @@ def _count_task(batches):
     held, size = [], 0
 
     def counted():
-        words, index, n = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_counts=True)
-        units = np.concatenate([h[1] for h in held])[index]
-        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(units), pa.array(n)], ["word", "unit", "n"])
+        langs = pa.chunked_array([h[2] for h in held]).dictionary_encode().combine_chunks()
+        lang = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        lang = np.repeat(lang, np.concatenate([h[3] for h in held]))
+        words, tails = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        order = np.lexsort((words, lang))
+        words, lang, tails = words[order], lang[order], tails[order]
+        new = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (lang[1:] != lang[:-1])]))
+        n = np.diff(np.append(new, len(words)))
+        names = langs.dictionary.take(pa.array(lang[new], mask=lang[new] < 0))
+        arrays = [names, pa.array(words[new]), pa.array(tails[new]), pa.array(n)]
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "word", "unit", "n"])
 
     for batch in batches:
-        for _, hashes, bounds, data, firsts, ends in _words(batch.column("text")):
-            texts = len(bounds) - 1
-            held.append((
-                np.concatenate([hashes, np.full(texts, END_WORD)]),
-                np.concatenate([tail_units(data, firsts, ends), np.full(texts, END)]),
-            ))
-            size += len(hashes) + texts
+        for rows, hashes, bounds, data, firsts, ends in _words(batch.column("text")):
+            # The end of a text comes after its words.
+            words, _ = _with_ends(hashes, bounds, END_WORD)
+            tails, full = _with_ends(tail_units(data, firsts, ends), bounds, TAILS)
+            held.append((words, tails, batch.column("lang").slice(rows.start, rows.stop - rows.start), np.diff(full)))
+            size += len(words)
             if size > 2_000_000:
                 yield counted()
                 held, size = [], 0
@@ -104,11 +130,10 @@ class Lookup:
         return at, self.words[at] == hashes
 
 
-def units_of(lookup, hashes, data, firsts, ends):
+def units_of(lookup, heads, hashes, data, firsts, ends):
     at, there = lookup.find(hashes)
-    heads = lookup.units[at] if len(lookup.units) else at
-    own = there & (heads >= 0)
-    return np.where(own, heads, tail_units(data, firsts, ends)), at, there
+    own = lookup.units[at] if len(lookup.units) else at
+    return np.where(there & (own >= 0), own, heads + tail_units(data, firsts, ends)), at, there
 
 
 def _with_ends(values, bounds, end):
@@ -116,18 +141,18 @@ def _with_ends(values, bounds, end):
     return np.insert(values, bounds[1:], end), bounds + np.arange(len(bounds))
 
 
-def contexts(units, bounds):
-    """The units one and two places before each, with BEGIN before a text."""
-    one = np.concatenate([[BEGIN], units[:-1]]) if len(units) else units
-    two = np.concatenate([[BEGIN, BEGIN], units[:-2]])[: len(units)] if len(units) else units
+def contexts(units, bounds, begin=BEGIN):
+    """The units one and two places before each, with ``begin`` before a text."""
+    one = np.concatenate([[begin], units[:-1]]) if len(units) else units
+    two = np.concatenate([[begin, begin], units[:-2]])[: len(units)] if len(units) else units
     first = bounds[:-1][np.diff(bounds) > 0]
-    one[first], two[first] = BEGIN, BEGIN
+    one[first], two[first] = begin, begin
     second = first + 1
-    two[second[second < len(units)]] = BEGIN
+    two[second[second < len(units)]] = begin
     return two, one
 
 
-def _encode_task(shared, smooth_total, base_total):
+def _encode_task(shared, heads, smooth_total, base_total):
     """Rows without their texts: units as bytes, sums over common words, other words."""
 
     def task(batches):
@@ -136,23 +161,23 @@ def _encode_task(shared, smooth_total, base_total):
         for batch in batches:
             columns = {n: [] for n in ("n_tokens", "known", "base", "within", "units", "words", "times")}
             for _, hashes, bounds, data, firsts, ends in _words(batch.column("text")):
-                units, at, there = units_of(lookup, hashes, data, firsts, ends)
+                units, at, there = units_of(lookup, heads, hashes, data, firsts, ends)
                 rare = ~there
                 _, end_there = lookup.find(np.array([END_WORD]))
                 end_at = lookup.find(np.array([END_WORD]))[0][0]
                 end_log = log_counts[end_at] if end_there[0] else np.log10(SMOOTH)
                 logs = np.where(there, log_counts[at] if len(lookup.words) else 0.0, 0.0)
-                shared_unit = there & (units >= HEADS)
-                full, where = _with_ends(units, bounds, END)
+                shared_unit = there & (units >= heads)
+                full, where = _with_ends(units, bounds, heads + TAILS)
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
                     words, times = np.unique(hashes[a:b][rare[a:b]], return_counts=True)
                     columns["n_tokens"].append(b - a + 1)
                     columns["known"].append(int(there[a:b].sum()) + int(end_there[0]))
                     columns["base"].append(float(logs[a:b].sum() + end_log - base_total * (b - a + 1)))
                     columns["within"].append(
-                        float(logs[a:b][shared_unit[a:b]].sum() - smooth_total[units[a:b]].sum())
+                        float(logs[a:b][shared_unit[a:b]].sum() - smooth_total[np.maximum(units[a:b] - heads, -1)].sum())
                     )
-                    columns["units"].append(full[where[i] : where[i + 1]].astype(np.uint8).tobytes())
+                    columns["units"].append(full[where[i] : where[i + 1]].astype(np.uint16).tobytes())
                     columns["words"].append(words)
                     columns["times"].append(times.astype(np.int32))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -165,108 +190,341 @@ def _encode_task(shared, smooth_total, base_total):
     return task
 
 
-def _trigram_task(batches):
-    """Unit trigrams of the task's rows, added up in one table of fixed size."""
-    table = np.zeros(UNITS**3, np.int64)
-    for batch in batches:
-        units = [np.frombuffer(u, np.uint8).astype(np.int64) for u in batch.column("units").to_pylist()]
-        if units:
-            bounds = np.concatenate([[0], np.cumsum([len(u) for u in units])])
-            flat = np.concatenate(units)
-            two, one = contexts(flat, bounds)
-            table += np.bincount((two * UNITS + one) * UNITS + flat, minlength=UNITS**3)
-    at = np.flatnonzero(table)
-    for begin in range(0, len(at), 100_000):
-        some = at[begin : begin + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(table[some])], ["cell", "n"])
+def _sums_of(place, values, n):
+    """Sums of the rows of ``values`` with each place below ``n``."""
+    return np.stack([np.bincount(place, v, n) for v in np.ascontiguousarray(values.T)], 1).astype(np.float32)
+
+
+def _sigmoid(x):
+    with np.errstate(over="ignore"):
+        x = np.exp(-x)
+    x += 1
+    return np.divide(1, x, out=x)
+
+
+def classes_of(sketches, n):
+    """A class for each of the sketched units, ``n`` (a power of two) of nearly equal
+    sizes: groups are halved along the direction in which they differ most."""
+    groups = [np.arange(len(sketches))]
+    while len(groups) < n:
+        halves = []
+        for group in groups:
+            some = sketches[group] - sketches[group].mean(0)
+            axis = np.linalg.eigh(some.T @ some)[1][:, -1]
+            group = group[np.argsort(some @ axis, kind="stable")]
+            halves += [group[: (len(group) + 1) // 2], group[(len(group) + 1) // 2 :]]
+        groups = halves
+    out = np.empty(len(sketches), np.int64)
+    for i, group in enumerate(groups):
+        out[group] = i
+    return out
+
+
+def n_classes(units):
+    """The power of two nearest to the root of the number of units."""
+    return 1 << max(0, round(np.log2(max(1, units)) / 2))
 
 
 class LogBilinear:
-    """Scores of units after two units; see the module's text."""
+    """Scores of units after two units; see the module's text.
+
+    ``counts`` are those of the predicted units (all but the one before a text),
+    ``sketches`` a row of features of each, by which they are put in classes."""
 
-    def __init__(self, seed=0):
+    def __init__(self, seed=0, heads=HEADS, counts=None, sketches=None):
         rng = np.random.default_rng(seed)
+        self.begin = heads + TAILS + 1
+        self.units = self.begin + 1
+        n = n_classes(self.begin)
+        self.unit_class = classes_of(
+            np.arange(self.begin, dtype=np.float64)[:, None] if sketches is None else sketches, n
+        )
+        # Units of a class are neighbours in ``order``; ``first`` says where each class begins.
+        self.order = np.argsort(self.unit_class, kind="stable")
+        self.first = np.searchsorted(self.unit_class[self.order], np.arange(n + 1))
+        self.rank = np.empty(self.begin, np.int64)
+        self.rank[self.order] = np.arange(self.begin)
         self.p = {
-            "seen": rng.normal(0, 0.1, (UNITS, RANK)).astype(np.float32),
+            "seen": rng.normal(0, 0.1, (self.units, RANK)).astype(np.float32),
             "far": np.eye(RANK, dtype=np.float32) * 0.5,
             "next": np.eye(RANK, dtype=np.float32),
-            "units": rng.normal(0, 0.1, (BEGIN, RANK)).astype(np.float32),
-            "bias": np.zeros(BEGIN, np.float32),
+            "classes": rng.normal(0, 0.1, (n, RANK)).astype(np.float32),
+            "class_bias": np.zeros(n, np.float32),
+            # By rank, not by unit.
+            "units": rng.normal(0, 0.1, (self.begin, RANK)).astype(np.float32),
+            "bias": np.zeros(self.begin, np.float32),
         }
-
-    def vectors(self, two, one):
-        p = self.p
-        return p["seen"][two] @ p["far"] + p["seen"][one] @ p["next"]
-
-    def scores(self, two, one):
-        return self.vectors(two, one) @ self.p["units"].T + self.p["bias"]
+        if counts is not None:
+            self.set_frequencies(counts)
+
+    def set_frequencies(self, counts):
+        """Noise, and the biases to begin with, from counts of units."""
+        n = counts.astype(np.float64)[self.order] + 1
+        totals = np.add.reduceat(n, self.first[:-1])
+        self.class_share = (totals / totals.sum()).astype(np.float32)
+        self.share = (n / np.repeat(totals, np.diff(self.first))).astype(np.float32)
+        self.running = np.cumsum(n)
+        self.p["class_bias"] = np.log(self.class_share)
+        self.p["bias"] = np.log(self.share)
+
+    def _tables(self):
+        return self.p["seen"] @ self.p["far"], self.p["seen"] @ self.p["next"]
+
+    def _by_class(self, classes):
+        """``(class, begin, end)`` of runs of equal values in sorted ``classes``."""
+        at = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+        return zip(classes[at].tolist(), at.tolist(), [*at[1:].tolist(), len(classes)])
+
+    def log_probabilities(self, two, one, target):
+        """Natural logarithms of the normalised probabilities, a batch at a time."""
+        far, near = self._tables()
+        p, out = self.p, np.empty(len(target), np.float32)
+        for begin in range(0, len(target), BATCH):
+            part = slice(begin, begin + BATCH)
+            ranks = self.rank[target[part]]
+            order = np.argsort(ranks.astype(np.uint16), kind="stable")
+            ranks = ranks[order]
+            classes = self.unit_class[self.order[ranks]]
+            hidden = far[two[part][order]] + near[one[part][order]]
+            found = np.empty(len(ranks), np.float32)
+            for some in range(0, len(ranks), 4096):
+                piece = slice(some, some + 4096)
+                found[piece] = _log_share(hidden[piece] @ p["classes"].T + p["class_bias"], classes[piece])
+            for c, a, b in self._by_class(classes):
+                own = slice(self.first[c], self.first[c + 1])
+                found[a:b] += _log_share(hidden[a:b] @ p["units"][own].T + p["bias"][own], ranks[a:b] - own.start)
+            out[begin + order] = found
+        return out
 
     def log_table(self):
-        """Normalised log10 probabilities of every unit after every two units."""
-        all_units = np.arange(UNITS)
-        table = np.empty((UNITS, UNITS, BEGIN), np.float32)
-        for two in all_units:
-            s = self.scores(np.full(UNITS, two), all_units)
-            s -= s.max(1, keepdims=True)
-            table[two] = s - np.log(np.exp(s).sum(1, keepdims=True))
-        return table / np.float32(np.log(10))
-
-    def train(self, cells, counts, steps=STEPS, noise=NOISE, rate=RATE):
-        """Minimise the noise-contrastive loss of the counted trigrams.
-
-        For each pair of units that occurs, what follows is told from ``noise``
-        draws of the unit frequencies; the expectation over the draws is exact."""
+        """Normalised log10 probabilities of every unit after every two units; for small models."""
+        n = np.arange(self.units**2 * self.begin)
+        two, one = n // (self.units * self.begin), n // self.begin % self.units
+        table = self.log_probabilities(two, one, n % self.begin)
+        return table.reshape(self.units, self.units, self.begin) / np.float32(np.log(10))
+
+    def gradients(self, two, one, target, times, rng):
+        """Of the noise-contrastive loss of one batch: its classes are told from
+        ``NOISE_CLASSES`` drawn ones, and its units from ``NOISE_UNITS`` of their class."""
+        p, (far, near) = self.p, self._tables()
+        grads = {k: np.zeros_like(v) for k, v in p.items()}
+        ranks = self.rank[target]
+        order = np.argsort(ranks.astype(np.uint16), kind="stable")
+        ranks, two, one = ranks[order], two[order], one[order]
+        weight = (times[order] / times.sum()).astype(np.float32)
+        classes = self.unit_class[self.order[ranks]]
+        hidden = far[two] + near[one]
+        back = np.zeros_like(hidden)
+
+        def real(at, vectors, bias, log_noise):
+            own = p[vectors][at]
+            error = (_sigmoid(np.einsum("ij,ij->i", hidden, own) + p[bias][at] - log_noise[at]) - 1) * weight
+            grads[bias] += np.bincount(at, error, len(log_noise)).astype(np.float32)
+            grads[vectors] += _sums_of(at, error[:, None] * hidden, len(log_noise))
+            back[:] += error[:, None] * own
+
+        def noise(at, rows, vectors, bias, log_noise):
+            own, h = p[vectors][at], hidden[rows]
+            error = _sigmoid(h @ own.T + (p[bias][at] - log_noise[at])) * weight[rows, None]
+            np.add.at(grads[bias], at, error.sum(0))
+            np.add.at(grads[vectors], at, error.T @ h)
+            back[rows] += error @ own
+
+        def drawn(low, high, running, n):
+            below = running[low - 1] if low else 0.0
+            at = np.searchsorted(running, below + rng.random(n) * (running[high - 1] - below), "right")
+            return np.clip(at, low, high - 1)
+
+        of_classes = "classes", "class_bias", np.log(NOISE_CLASSES * self.class_share)
+        of_units = "units", "bias", np.log(NOISE_UNITS * self.share)
+        real(classes, *of_classes)
+        among = drawn(0, len(self.class_share), np.cumsum(self.class_share, dtype=np.float64), NOISE_CLASSES)
+        noise(among, slice(None), *of_classes)
+        real(ranks, *of_units)
+        for c, a, b in self._by_class(classes):
+            noise(drawn(self.first[c], self.first[c + 1], self.running, NOISE_UNITS), slice(a, b), *of_units)
+        by_far, by_near = _sums_of(two, back, self.units), _sums_of(one, back, self.units)
+        grads["far"], grads["next"] = p["seen"].T @ by_far, p["seen"].T @ by_near
+        grads["seen"] = by_far @ p["far"].T + by_near @ p["next"].T
+        return grads
+
+    def start(self):
+        """Moments of the steps that follow."""
+        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
+        self.steps = 0
+
+    def step(self, two, one, target, times, rng, rate=RATE):
+        self.steps += 1
+        for name, grad in self.gradients(two, one, target, times, rng).items():
+            mean, square = self.moments[name]
+            mean += 0.1 * (grad - mean)
+            square += 0.01 * (grad * grad - square)
+            fast = mean * np.float32(rate / (1 - 0.9**self.steps))
+            self.p[name] = self.p[name] - fast / (np.sqrt(square / np.float32(1 - 0.99**self.steps)) + np.float32(1e-8))
+
+    def train(self, cells, counts, steps=STEPS, rate=RATE):
+        """Steps over counted trigrams ``(two * units + one) * units + target``."""
         if not len(cells):
             return self
-        pairs, row = np.unique(cells // UNITS, return_inverse=True)
-        target = np.zeros((len(pairs), BEGIN), np.float32)
-        np.add.at(target, (row, cells % UNITS), counts.astype(np.float32))
-        total = target.sum()
-        frequency = (target.sum(0) + 1) / (total + BEGIN)
-        per_pair = target.sum(1, keepdims=True)
-        two, one = pairs // UNITS, pairs % UNITS
-        self.p["bias"] = np.log(frequency).astype(np.float32)
-        shift = np.log(noise * frequency).astype(np.float32)
-        moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
-        # Pairs count by the root of how often they occur, so that rare ones are learnt too.
-        weight = 1 / np.sqrt(np.maximum(per_pair, 1))
-        scale = 1 / float((weight * per_pair).sum())
-        for step in range(1, steps + 1):
-            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-            for begin in range(0, len(pairs), ROWS):
-                part = slice(begin, begin + ROWS)
-                far, near = two[part], one[part]
-                hidden = self.vectors(far, near)
-                real = 1 / (1 + np.exp(-(hidden @ self.p["units"].T + self.p["bias"] - shift)))
-                noised = target[part] + noise * per_pair[part] * frequency
-                error = weight[part] * (noised * real - target[part]) * scale
-                back = error @ self.p["units"]
-                grads["units"] += error.T @ hidden
-                grads["bias"] += error.sum(0)
-                grads["far"] += self.p["seen"][far].T @ back
-                grads["next"] += self.p["seen"][near].T @ back
-                np.add.at(grads["seen"], far, back @ self.p["far"].T)
-                np.add.at(grads["seen"], near, back @ self.p["next"].T)
-            for name, grad in grads.items():
-                mean, square = moments[name]
-                mean += 0.1 * (grad - mean)
-                square += 0.001 * (grad * grad - square)
-                fast = mean / (1 - 0.9**step)
-                self.p[name] = self.p[name] - rate * fast / (np.sqrt(square / (1 - 0.999**step)) + 1e-10)
+        two, one, target = cells // self.units**2, cells // self.units % self.units, cells % self.units
+        self.set_frequencies(np.bincount(target, counts, self.begin))
+        self.start()
+        rng = np.random.default_rng(0)
+        for i in range(steps):
+            at = slice(0, len(cells)) if len(cells) <= BATCH else rng.integers(0, len(cells), BATCH)
+            self.step(two[at], one[at], target[at], counts[at], rng, rate * (1 - i / steps))
         return self
 
 
-def _score_task(model):
+def _log_share(scores, at):
+    rows = np.arange(len(at))
+    picked = scores[rows, at]
+    ones = np.ones(scores.shape[1], np.float32)
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = np.exp(scores) @ ones
+    if not ((total > 0) & np.isfinite(total)).all():
+        most = scores.max(1)
+        total, picked = np.exp(scores - most[:, None]) @ ones, picked - most
+    return picked - np.log(total)
+
+
+def _runs(batches):
+    """The units of about ``COUNTED`` words of the rows at a time, a list of arrays."""
+    held, size = [], 0
+    for batch in batches:
+        for raw in batch.column("units").to_pylist():
+            held.append(np.frombuffer(raw, np.uint16))
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _counted(texts, begin, rng):
+    """``(two, one, unit, times)`` of the different trigrams of some texts, in an order
+    without meaning, ``TRAINED`` at most at once."""
+    flat, units = np.concatenate(texts).astype(np.int64), begin + 1
+    two, one = contexts(flat, np.concatenate([[0], np.cumsum([len(u) for u in texts])]), begin)
+    cells, times = np.unique((two * units + one) * units + flat, return_counts=True)
+    order = rng.permutation(len(cells))
+    for at in range(0, len(cells), TRAINED):
+        cell, n = cells[order[at : at + TRAINED]], times[order[at : at + TRAINED]]
+        yield cell // units**2, cell // units % units, cell % units, n.astype(np.float32)
+
+
+def _slabs(values, weight):
+    """A flat array as rows ``part``, ``weight``, ``data``; a few at a time."""
+    for begin in range(0, len(values), SLAB):
+        data = (values[begin : begin + SLAB] * np.float32(weight)).astype(np.float32).tobytes()
+        arrays = [pa.array([begin // SLAB]), pa.array([float(weight)]), pa.array([data], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["part", "weight", "data"])
+
+
+def _add_slabs(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, weight = None, 0.0
+    for batch in batches:
+        for w, data in zip(batch.column("weight").to_pylist(), batch.column("data").to_pylist()):
+            value = np.frombuffer(data, np.float32).astype(np.float64)
+            total, weight = value if total is None else total + value, weight + w
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([key[0].as_py()]), pa.array([weight]), pa.array([total.astype(np.float32).tobytes()], pa.binary())],
+        ["part", "weight", "data"],
+    )
+
+
+def _summed(frame, task):
+    """``(sum, weight)`` of the arrays that ``task`` gives; None without any. Added up by
+    Spark, so the driver gets one array however many tasks there are."""
+    kind = "part long, weight double, data binary"
+    rows = frame.mapInArrow(task, kind).groupBy("part").applyInArrow(_add_slabs, kind).collect()
+    rows.sort(key=lambda r: r.part)
+    return (np.concatenate([np.frombuffer(r.data, np.float32) for r in rows]), rows[0].weight) if rows else (None, 0)
+
+
+def _sketch_task(begin, frequency):
+    """Sums over what comes before each unit, of a fixed random row for each unit."""
+    rng = np.random.default_rng(1)
+    rows = rng.normal(0, 1, (begin + 1, SKETCH)).astype(np.float32)
+    rows /= np.sqrt(np.append(frequency, frequency[-1]) + 1)[:, None].astype(np.float32)
+
+    def task(batches):
+        out = np.zeros((begin, SKETCH), np.float32)
+        some = False
+        for texts in _runs(batches):
+            units = np.concatenate(texts).astype(np.int64)
+            _, one = contexts(units, np.concatenate([[0], np.cumsum([len(u) for u in texts])]), begin)
+            for at in range(0, len(units), BATCH):
+                part = slice(at, at + BATCH)
+                out += _sums_of(units[part], rows[one[part]], begin)
+            some = True
+        if some:
+            yield from _slabs(out.ravel(), 1)
+
+    return task
+
+
+def _train_task(shared, turn, passes):
+    """Parameters after steps on the task's rows; those of ``passes`` of ``ROUNDS`` runs if
+    these are fewer, else all of them, more than once."""
+
+    def task(batches):
+        model = LogBilinear.__new__(LogBilinear)
+        model.__dict__ |= shared.value.__dict__
+        model.p = dict(model.p)
+        model.start()
+        place, rng, words = TaskContext.get().partitionId(), np.random.default_rng(turn), 0
+        for i, texts in enumerate(_runs(batches)):
+            if (i + place + turn) % ROUNDS < passes:
+                for _ in range(max(1, round(passes / ROUNDS))):
+                    for batch in _counted(texts, model.begin, rng):
+                        model.step(*batch, rng, RATE * (1 - turn / ROUNDS))
+                words += sum(map(len, texts))
+        if words:
+            flat = np.concatenate([v.ravel() for v in model.p.values()])
+            yield from _slabs(flat, words)
+
+    return task
+
+
+def train_model(training, heads, counts):
+    """A model of the frame's ``units``; ``counts`` are those of the predicted units."""
+    begin, spark, words = heads + TAILS + 1, training.sparkSession, int(counts.sum())
+    # A task sends all parameters once a round, so it gets enough rows for that.
+    training = training.coalesce(1 + words // TASK_WORDS)
+    passes = min(MOST_PASSES, max(1, round(WANTED / max(1, words))))
+    sums, _ = _summed(training, _sketch_task(begin, counts))
+    if sums is None:
+        return LogBilinear(heads=heads, counts=counts)
+    sketches = sums.reshape(begin, SKETCH).astype(np.float64) / (counts + LEAST)[:, None]
+    model = LogBilinear(heads=heads, counts=counts, sketches=sketches)
+    for turn in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(model)
+        total, weight = _summed(training, _train_task(shared, turn, passes))
+        if total is None:
+            continue
+        at = 0
+        for name, value in model.p.items():
+            model.p[name] = (total[at : at + value.size] / weight).reshape(value.shape).astype(np.float32)
+            at += value.size
+        shared.unpersist()
+    return model
+
+
+def _score_task(shared):
     def task(batches):
-        table = None
+        model = shared.value
         for batch in batches:
-            if table is None:
-                table = model.log_table()
-            scores = []
-            for raw in batch.column("units").to_pylist():
-                units = np.frombuffer(raw, np.uint8).astype(np.int64)
-                two, one = contexts(units, np.array([0, len(units)]))
-                scores.append(float(table[two, one, units].sum(dtype=np.float64)))
+            units = [np.frombuffer(raw, np.uint16) for raw in batch.column("units").to_pylist()]
+            bounds = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
+            flat = np.concatenate([np.zeros(0, np.uint16), *units]).astype(np.int64)
+            two, one = contexts(flat, bounds, model.begin)
+            cells, at = np.unique((two * model.units + one) * model.units + flat, return_inverse=True)
+            parts = cells // model.units**2, cells // model.units % model.units, cells % model.units
+            logs = model.log_probabilities(*parts)[at] if len(flat) else np.zeros(0)
+            running = np.concatenate([[0], np.cumsum(logs, dtype=np.float64)])
+            scores = np.diff(running[bounds]) / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(batch.num_columns - 1)], pa.array(scores, pa.float64())],
                 [*batch.schema.names[:-1], "model"],
@@ -276,48 +534,79 @@ def _score_task(model):
 
 
 def count_words(training):
-    """``word`` (hash), ``unit`` it shares, and ``n`` of all words of a frame of texts."""
-    counted = training.select("text").mapInArrow(_count_task, "word long, unit long, n long")
+    """``lang``, ``word`` (hash), which shared ``unit`` it would have, and ``n`` of all
+    words of a frame of texts."""
+    counted = training.select("text", "lang").mapInArrow(_count_task, "lang string, word long, unit long, n long")
     # Equal words have equal units.
-    return counted.groupBy("word").agg(F.min("unit").alias("unit"), F.sum("n").alias("n"))
+    return counted.groupBy("lang", "word").agg(F.min("unit").alias("unit"), F.sum("n").alias("n"))
+
+
+LEVEL = "cast(floor(8 * log2(n)) as int)"
 
 
 def _common(counts, most=COMMON):
-    """The most frequent words, ``most`` at most: those above a frequency that is found
-    from the number of words per eighth of a doubling. No sort, no single task."""
-    level = F.floor(8 * F.log2("n")).cast("int")
+    """A condition for the most frequent words, ``most`` at most: those above a frequency
+    that is found from the number of words per eighth of a doubling. No sort, no single task."""
+    level = F.expr(LEVEL)
     sizes = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).toPandas()
     sizes = sizes.sort_values("level", ascending=False)
     fit = sizes[sizes["n"].cumsum() <= most]["level"]
-    return counts.filter(level >= int(fit.min()) if len(fit) else F.lit(False))
-
-
-def score_documents(docs, id_col="doc_id", text_col="text"):
+    return level >= int(fit.min()) if len(fit) else F.lit(False)
+
+
+def _head_words(by_lang, most, least):
+    """The words that are units of their own: all of at least ``least`` tokens in a
+    language or, if these are more than ``most``, the most frequent of each language,
+    with room divided evenly among the languages that need it."""
+    rows = by_lang.filter((F.col("n") >= least) & (F.col("word") != END_WORD))
+    sizes = rows.groupBy("lang", F.expr(LEVEL).alias("level")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    levels = {}
+    for lang, level, n in sizes.itertuples(index=False):
+        levels.setdefault(lang if isinstance(lang, str) else None, []).append((level, n))
+    room, keep = most, F.lit(False)
+    for i, lang in enumerate(sorted(levels, key=lambda x: (sum(n for _, n in levels[x]), x or ""))):
+        share, lowest = room // (len(levels) - i), None
+        for level, n in sorted(levels[lang], reverse=True):
+            if n > share:
+                break
+            share, room, lowest = share - n, room - n, level
+        if lowest is not None:
+            keep = keep | (F.col("lang").eqNullSafe(F.lit(lang)) & (F.expr(LEVEL) >= int(lowest)))
+    return rows.filter(keep).select("word").distinct()
+
+
+def score_documents(docs, id_col="doc_id", text_col="text", lang_col="lang", most=MOST, least=LEAST):
     """One row per document: ``held_out``, counts, the base score and the model's."""
     bounded_batches(docs)
     spark = docs.sparkSession
     doc_id = F.col(f"`{id_col}`")
     held_out = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
+    lang = F.col(f"`{lang_col}`") if lang_col in docs.columns else F.lit(None)
     rows = docs.select(
-        doc_id.alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), held_out.alias("held_out")
-    )
-    counts = stage(count_words(rows.filter(~held_out)), "words")
-
-    # Totals per shared unit: a row for each of at most UNITS units.
-    common = _common(counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    words, n, shared_unit = (common[c].to_numpy(np.int64) for c in ("word", "n", "unit"))
-    heads = [i for i in range(len(words)) if words[i] != END_WORD][:HEADS]
+        doc_id.alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), held_out.alias("held_out"),
+        lang.cast("string").alias("lang"),
+    )
+    by_lang = stage(count_words(rows.filter(~held_out)), "words-by-language")
+    counts = stage(by_lang.groupBy("word").agg(F.min("unit").alias("unit"), F.sum("n").alias("n")), "words")
+
+    head_words = _head_words(by_lang, most, least).withColumn("head", F.lit(True))
+    common = counts.join(head_words.hint(MERGE), "word", "left").filter(F.col("head") | _common(counts))
+    common = common.select("word", "n", "unit", F.coalesce("head", F.lit(False)).alias("head")).toPandas()
+    common = common.sort_values(["n", "word"], ascending=[False, True])
+    words, n, tail = (common[c].to_numpy(np.int64) for c in ("word", "n", "unit"))
+    own = np.flatnonzero(common["head"].to_numpy(bool))
+    heads = len(own)
     units = np.full(len(words), -1)
-    units[heads] = np.arange(len(heads))
+    units[own] = np.arange(heads)
+    # Totals per shared unit, and of the ends: a row each.
     totals = counts.groupBy("unit").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).toPandas()
     tokens, kinds = int(totals["n"].sum()), int(totals["kinds"].sum())
-    in_unit, kinds_in_unit = np.zeros(UNITS), np.zeros(UNITS)
+    in_unit, kinds_in_unit = np.zeros(TAILS + 1), np.zeros(TAILS + 1)
     in_unit[totals["unit"]], kinds_in_unit[totals["unit"]] = totals["n"], totals["kinds"]
-    np.subtract.at(in_unit, shared_unit[heads], n[heads])
-    np.subtract.at(kinds_in_unit, shared_unit[heads], 1)
-    # log10 of what a word's smoothed count is divided by; 0 for units of one word.
-    log_totals = np.zeros(UNITS)
-    log_totals[HEADS:END] = np.log10(in_unit[HEADS:END] + SMOOTH * (kinds_in_unit[HEADS:END] + 1))
+    np.subtract.at(in_unit, tail[own], n[own])
+    np.subtract.at(kinds_in_unit, tail[own], 1)
+    # log10 of what a word's smoothed count is divided by; 0, the last, for units of one word.
+    log_totals = np.append(np.log10(in_unit[:TAILS] + SMOOTH * (kinds_in_unit[:TAILS] + 1)), 0.0)
     base_total = float(np.log10(tokens + SMOOTH * (kinds + 1)))
 
     shared = spark.sparkContext.broadcast((words, n, units))
@@ -326,16 +615,12 @@ def score_documents(docs, id_col="doc_id", text_col="text"):
               ("known", T.LongType()), ("base", T.DoubleType()), ("within", T.DoubleType()), ("units", T.BinaryType()),
               ("words", T.ArrayType(T.LongType())), ("times", T.ArrayType(T.IntegerType()))]
     encoded = stage(
-        rows.withColumn("place", F.monotonically_increasing_id()).mapInArrow(
-            _encode_task(shared, log_totals, base_total), T.StructType([T.StructField(*f) for f in fields])
+        rows.drop("lang").withColumn("place", F.monotonically_increasing_id()).mapInArrow(
+            _encode_task(shared, heads, log_totals, base_total), T.StructType([T.StructField(*f) for f in fields])
         ),
         "encoded",
     )
-    trigrams = (
-        encoded.filter("NOT held_out").select("units").mapInArrow(_trigram_task, "cell long, n long")
-        .groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    )
-    model = LogBilinear().train(trigrams["cell"].to_numpy(np.int64), trigrams["n"].to_numpy(np.int64))
+    model = train_model(encoded.filter("NOT held_out").select("units"), heads, np.concatenate([n[own], in_unit]))
 
     rare = encoded.select("place", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "place", F.col("w.words").alias("word"), F.col("w.times").alias("times")
@@ -346,7 +631,8 @@ def score_documents(docs, id_col="doc_id", text_col="text"):
         F.sum(log_count).alias("rare_log"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known")
     )
     scored = encoded.select("doc_id", "held_out", "place", "n_tokens", "known", "base", "within", "units").mapInArrow(
-        _score_task(model), T.StructType([T.StructField(*f) for f in fields[:7]] + [T.StructField("model", T.DoubleType())])
+        _score_task(spark.sparkContext.broadcast(model)),
+        T.StructType([T.StructField(*f) for f in fields[:7]] + [T.StructField("model", T.DoubleType())]),
     )
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     return scored.join(sums.hint(MERGE), "place", "left").select(
