@@ -12,7 +12,9 @@ the tasks in blocks of at most ``block_windows`` windows, one pass for each
 block, so what is broadcast has a bound whatever the benchmark's size.
 
 Defined cases: NULL or empty text has no words and is never hit; an item
-without words (NULL too) matches nothing; repeated rows are judged alike; an
+without words (NULL too) matches nothing; the windows of items with a NULL id
+count like all others, and such items together are one NULL among the items, which
+no list of ids names; repeated rows are judged alike; an
 empty benchmark hits nothing; other columns pass through unchanged.
 """
 
@@ -117,7 +119,7 @@ def find_benchmark(docs, benchmark, text_col="text", item_col="item_id", item_te
                    found="found", block_windows=BLOCK_WINDOWS):
     """``docs`` with the column ``found``: struct of ``n_words``, the hit words as
     ``spans`` (first word, word after the last one; sorted, not overlapping), and
-    the sorted distinct ``items`` whose windows occur (as text)."""
+    the sorted distinct ``items`` whose windows occur (as text, NULL last)."""
     bounded_batches(docs)
     found = free_name(docs, found)
     kind = T.StructType([
@@ -127,7 +129,7 @@ def find_benchmark(docs, benchmark, text_col="text", item_col="item_id", item_te
     ])
     out = docs.withColumn(found, F.lit(None).cast(kind))
     for rows in _item_blocks(benchmark, item_col, item_text_col, block_windows):
-        rows = [(str(item_id), text) for item_id, text in rows if item_id is not None]
+        rows = [(None if item_id is None else str(item_id), text) for item_id, text in rows]
         out = out.mapInArrow(_search_task(rows, text_col, found), out.schema)
     return out
 
@@ -166,7 +168,7 @@ def _search_slice(searches, column, before):
             for first, ids in search.find(hashes[begin:end], word_at):
                 spans.append((first, first + search.length))
                 items |= ids
-        yield {"n_words": int(end - begin), "spans": _merged(spans), "items": sorted(items)}
+        yield {"n_words": int(end - begin), "spans": _merged(spans), "items": sorted(items, key=lambda x: (x is None, x or ""))}
 
 
 def _merged(spans):
