@@ -71,8 +71,31 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id"""
 
+NEGATIVES = """
+WITH valid AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+    CAST(list_dot_product(a.vector, c.vector) AS BIGINT) AS score
+  FROM valid a JOIN valid c ON a.r <> c.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) AS place
+  FROM scores WHERE same AND other_id <> anchor_id QUALIFY place <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+  AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10"""
+
 ORACLE = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op3_warc_captures": CAPTURES,
     "op8_decontamination": CONTAMINATION,
+    "op11_hard_negatives": NEGATIVES,
 }

@@ -5,6 +5,7 @@ from visitlog.llm.decontaminate import contamination
 from visitlog.llm.language import predict_languages
 from visitlog.llm.lm import score_documents
 from visitlog.llm.neardup import link_duplicates
+from visitlog.llm.negatives import label_negatives
 from visitlog.llm.oracle import ORACLE
 from visitlog.llm.packing import pack_documents
 from visitlog.llm.pii import pseudonymize
@@ -37,4 +38,5 @@ QUERIES = {
     ),
     "op9_quality_rules": _over("documents", quality_report),
     "op10_language_id": _over("documents", predict_languages),
+    "op11_hard_negatives": _over("embeddings", label_negatives),
 }
