@@ -93,9 +93,53 @@ FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
   AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
 QUALIFY rank <= 10"""
 
+# CRC-32 of the decimal digits of an id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+RUNS = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, {_CRC32} AS h,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda w: w <> '') AS words
+  FROM documents),
+measured AS (SELECT *, len(words) AS n, h // 10 AS g FROM split),
+placed AS (SELECT *, g % greatest(n, 1) AS a FROM measured),
+tiled AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+      list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE words END AS words
+  FROM placed),
+grams AS (
+  SELECT r, n, i, array_to_string(list_slice(words, i + 1, i + 3), ' ') AS gram
+  FROM (SELECT r, n, words, unnest(range(n - 2)) AS i FROM tiled WHERE n >= 6)),
+apart AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i
+  WHERE 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM apart),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + 2 + q AS length FROM islands GROUP BY r, q, island),
+runs AS (
+  SELECT r, start, length, min(q) AS period FROM stretches
+  WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM runs GROUP BY r),
+best AS (
+  SELECT * FROM runs
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) = 1),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT r, unnest(words) AS word, unnest(range(n)) AS i FROM tiled),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM tiled t LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)"""
+
 ORACLE = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op3_warc_captures": CAPTURES,
     "op8_decontamination": CONTAMINATION,
     "op11_hard_negatives": NEGATIVES,
+    "op12_periodic_runs": RUNS,
 }

@@ -10,6 +10,7 @@ from visitlog.llm.oracle import ORACLE
 from visitlog.llm.packing import pack_documents
 from visitlog.llm.pii import pseudonymize
 from visitlog.llm.quality import quality_report
+from visitlog.llm.runs import document_runs
 from visitlog.llm.sharding import shard_documents
 from visitlog.llm.tokens import count_tokens
 from visitlog.llm.warc import capture_pages
@@ -39,4 +40,5 @@ QUERIES = {
     "op9_quality_rules": _over("documents", quality_report),
     "op10_language_id": _over("documents", predict_languages),
     "op11_hard_negatives": _over("embeddings", label_negatives),
+    "op12_periodic_runs": _over("documents", document_runs),
 }
