@@ -124,5 +124,5 @@ def test_pipeline_on_a_table(spark):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)

@@ -7,6 +7,7 @@ from visitlog.llm.lm import score_documents
 from visitlog.llm.neardup import link_duplicates
 from visitlog.llm.negatives import label_negatives
 from visitlog.llm.oracle import ORACLE
+from visitlog.llm.ordered import pack_document_tokens
 from visitlog.llm.packing import pack_documents
 from visitlog.llm.pii import pseudonymize
 from visitlog.llm.quality import quality_report
@@ -41,4 +42,5 @@ QUERIES = {
     "op10_language_id": _over("documents", predict_languages),
     "op11_hard_negatives": _over("embeddings", label_negatives),
     "op12_periodic_runs": _over("documents", document_runs),
+    "op13_ordered_packing": _over("documents", pack_document_tokens),
 }
