@@ -59,11 +59,12 @@ def near_duplicates(rows):
 def contamination(rows, items, window=10):
     """``{doc_id: (n_words, n_hit, n_items, digest, contaminated)}``."""
     windows = {}
+    # Items without an id count as one item that the digest leaves out.
     for item_id, text in items:
         words = LETTERED.findall(lower(text or ""))
         size = min(window, len(words))
         for i in range(len(words) - size + 1 if words else 0):
-            windows.setdefault(tuple(words[i : i + size]), set()).add(str(item_id))
+            windows.setdefault(tuple(words[i : i + size]), set()).add(None if item_id is None else str(item_id))
     sizes = sorted({len(w) for w in windows})
     out = {}
     for doc_id, text in rows:
@@ -75,7 +76,7 @@ def contamination(rows, items, window=10):
                 if ids:
                     found |= ids
                     hit |= set(range(i, i + size))
-        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        digest = hashlib.sha256(",".join(sorted(i for i in found if i is not None)).encode()).hexdigest()
         out[doc_id] = (len(words), len(hit), len(found), digest, bool(hit))
     return out
 
