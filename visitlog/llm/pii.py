@@ -7,22 +7,32 @@ and gender. Entities are named by a canonical form (a phone number's digits, a
 name's lower case), from which the surrogate follows, so an entity is replaced
 alike in all documents.
 
+A name is found after a title. Wherever else in that text one of its words stands as a
+name is written, the same surrogate takes its place.
+
 Formats with a fixed alphabet are permuted (a keyed Feistel network over all
 values of the format), so different entities cannot meet. Names are drawn. For
 all kinds the surrogates of the whole corpus are then checked: where two entities
 share one, all but the smallest are drawn anew, and so is a surrogate that is
 itself an entity of the corpus or equal to what it replaces, until none is left.
-Only entities are shuffled for that, each once; texts never are. The few that
-were drawn anew reach the tasks in blocks of at most ``REDRAWN_BLOCK``, one pass
-for each.
-
-Defined cases: NULL text stays NULL and empty text empty, both without entities;
-repeated rows are replaced alike; an empty table gives no rows; all other columns
-pass through unchanged.
+After ``STRICT`` rounds a format may be full, so what is drawn then gets longer from round
+to round: four more digits, or a syllable of a name. So the rounds end, whatever
+the corpus holds. Only entities are shuffled for that, each once; texts never are. The few
+that were drawn anew reach the tasks in blocks of at most ``REDRAWN_BLOCK``, one pass
+for each, and its result is stored before the next.
+
+The permutations can be undone by who knows the key. It comes from the caller, else from
+the session's setting ``spark.visitlog.surrogates.secret``; without either it is random,
+for this call only and kept nowhere, and surrogates differ from call to call.
+
+Defined cases: NULL text stays NULL and empty text empty, both without entities; a
+password of signs only (``______``) is a blank field and no entity; repeated rows are
+replaced alike; an empty table gives no rows; all other columns pass through unchanged.
 """
 
 import hashlib
 import re
+import secrets
 from collections import Counter
 
 import pyarrow as pa
@@ -32,8 +42,10 @@ from pyspark.sql import types as T
 from visitlog.llm.frames import bounded_batches, free_name
 from visitlog.session import stage
 
-KEY = b"surrogates"
+KEY_SETTING = "spark.visitlog.surrogates.secret"
 REDRAWN_BLOCK = 200_000
+# Rounds in which a surrogate keeps its format to the letter.
+STRICT = 8
 DIGITS, LOWERS, UPPERS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Titles and the gender they tell.
@@ -54,19 +66,30 @@ ENDINGS = {
     "greek": {"m": "ς", "f": "η", "n": "λ", "surname": "ρ"},
 }
 
-_CAP, _SMALL = "A-ZÀ-ÖØ-ÞА-ЯΑ-Ω", "a-zß-öø-ÿа-яά-ώ"
+def _letters(wanted):
+    """Latin, Greek and Cyrillic letters of one case, as the inside of a character class."""
+    return "".join(chr(c) for c in (*range(0x41, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)) if wanted(chr(c)))
+
+
+_CAP, _SMALL = _letters(str.isupper), _letters(str.islower)
+# Smith, O'Brien, McDonald, Meyer-Landrut, SMITH.
+_NAME = (
+    rf"(?:[{_CAP}](?=['’-]?[{_CAP}]?[{_SMALL}])[{_SMALL}]*(?:['’-][{_CAP}]?[{_SMALL}]+|[{_CAP}][{_SMALL}]+)*"
+    rf"|[{_CAP}](?:['’-]?[{_CAP}])+(?![{_CAP}{_SMALL}]))"
+)
+NAME = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 ENTITY = re.compile(
     "|".join([
         r"(?P<email>(?<![\w.%+-])[A-Za-z0-9][\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
         r"(?P<access>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))",
         r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
         r"(?P<secret>(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key))[ \t]*[=:][ \t]*[\"']?"
-        r"(?P<value>[A-Za-z0-9_+/.-]{6,}))",
+        r"(?P<value>(?=[_+/.-]*[A-Za-z0-9])[A-Za-z0-9_+/.-]{6,}))",
         r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))",
         r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))",
         r"(?P<card>(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d))",
         r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<!\w)\+\d{8,15}(?!\d))",
-        rf"(?P<person>\b(?P<title>{'|'.join(TITLES)})\b\.?[ ]+(?P<first>[{_CAP}][{_SMALL}]+)(?:[ ]+(?P<last>[{_CAP}][{_SMALL}]+))?)",
+        rf"(?P<person>\b(?P<title>{'|'.join(TITLES)})\b\.?[ ]+(?P<first>{_NAME})(?:[ ]+(?P<last>{_NAME}))?)",
     ])
 )
 # A text without any of these holds no entity.
@@ -132,9 +155,13 @@ def script_of(word):
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "greek" if "Ͱ" <= word[0] <= "Ͽ" else "latin"
 
 
-def surrogate(kind, canonical, attempt=0, key=KEY):
+def surrogate(kind, canonical, attempt, key):
     """The canonical form of an entity's replacement."""
-    tweak = f"{kind}|{attempt}"
+    tweak, longer = f"{kind}|{attempt}", max(0, attempt + 1 - STRICT)
+    if longer and not kind.startswith(("given", "surname")):
+        more = "".join(DIGITS[_random(key, tweak, canonical, i) % 10] for i in range(4 * longer))
+        new = surrogate(kind, canonical, 0, key)
+        return more + new if kind == "email" else new + more
     if kind == "email":
         local, _, domain = canonical.partition("@")
         host, _, top = domain.rpartition(".")
@@ -167,36 +194,62 @@ def surrogate(kind, canonical, attempt=0, key=KEY):
         syllables, n = SYLLABLES[script], _random(key, tweak, canonical)
         # As many syllables as the name is long, within limits.
         name = ""
-        for _ in range(min(6, max(3, len(canonical) // 2))):
+        for _ in range(min(6, max(3, len(canonical) // 2)) + longer):
             n, at = divmod(n, len(syllables))
             name += syllables[at]
         return name + ENDINGS[script]["surname" if kind == "surname" else kind[-1]]
     return permute_text(canonical, key, tweak)
 
 
+def _titled(m):
+    """``(start, end, kind, canonical)`` of the words of a name after its title."""
+    if m["last"]:
+        yield m.start("first"), m.end("first"), "given_" + TITLES[m["title"]], m["first"].lower()
+    last = "last" if m["last"] else "first"
+    yield m.start(last), m.end(last), "surname", m[last].lower()
+
+
 def detect(text):
     """``(start, end, kind, canonical)`` of the entities of a text, from left to right."""
     if not text or not HINT.search(text):
-        return
+        return []
+    out, names = [], {}
     for m in ENTITY.finditer(text):
-        kind = m.lastgroup if m.lastgroup in ("email", "access", "iban", "ssn", "ip", "card", "phone") else None
-        kind = kind or ("secret" if m["secret"] else "person")
         found = m.group()
-        if kind == "email":
-            yield m.start(), m.end(), kind, found.lower()
-        elif kind == "secret":
-            yield m.start("value"), m.end("value"), kind, m["value"]
-        elif kind == "phone":
-            yield m.start(), m.end(), kind, re.sub(r"\D", "", found)[-10:]
-        elif kind in ("card", "iban"):
-            yield m.start(), m.end(), kind, re.sub(r"[ -]", "", found)
-        elif kind == "person":
-            if m["last"]:
-                yield m.start("first"), m.end("first"), "given_" + TITLES[m["title"]], m["first"].lower()
-            last = "last" if m["last"] else "first"
-            yield m.start(last), m.end(last), "surname", m[last].lower()
+        if m["title"]:
+            for entity in _titled(m):
+                out.append(entity)
+                # A word that is a surname somewhere is one everywhere in the text.
+                if entity[2] == "surname":
+                    names[entity[3]] = entity[2]
+                names.setdefault(entity[3], entity[2])
+        elif m["secret"]:
+            out.append((m.start("value"), m.end("value"), "secret", m["value"]))
         else:
-            yield m.start(), m.end(), kind, found
+            kind = m.lastgroup
+            if kind == "email":
+                canonical = found.lower()
+            elif kind == "phone":
+                canonical = re.sub(r"\D", "", found)[-10:]
+            else:
+                canonical = re.sub(r"[ -]", "", found) if kind in ("card", "iban") else found
+            out.append((m.start(), m.end(), kind, canonical))
+    if names:
+        out = [(*e[:2], names.get(e[3], e[2]), e[3]) if e[2].startswith("given") else e for e in out]
+        out = sorted(out + list(_untitled(text, names, out)))
+    return out
+
+
+def _untitled(text, names, found):
+    """Further places of the names, outside of all that was found."""
+    taken = iter([*found, (len(text) + 1, len(text) + 1)])
+    start, end = next(taken)[:2]
+    for m in NAME.finditer(text):
+        while end <= m.start():
+            start, end = next(taken)[:2]
+        kind = names.get(m.group().lower())
+        if kind and m.end() <= start:
+            yield m.start(), m.end(), kind, m.group().lower()
 
 
 def formatted(found, kind, new):
@@ -212,13 +265,13 @@ def formatted(found, kind, new):
                 out.append(c)
             else:
                 out.append(next(letters))
-        return "".join(out)
+        return "".join(out + list(letters))
     if kind.startswith(("given", "surname")):
         return new.upper() if found.isupper() and len(found) > 1 else new[0].upper() + new[1:]
     return new
 
 
-def replace(text, key=KEY, attempts=None):
+def replace(text, key, attempts=None):
     """``(text with surrogates, kinds of the entities)``."""
     out, done, kinds, attempts = [], 0, [], attempts or {}
     for start, end, kind, canonical in detect(text):
@@ -252,7 +305,14 @@ def _entities(batches):
         )
 
 
-def assign_surrogates(docs, text_col="text", key=KEY):
+def key_of(spark, key=None):
+    """The caller's key, else the session's, else a random one."""
+    key = key or spark.conf.get(KEY_SETTING, None) or secrets.token_bytes(32)
+    key = key.encode() if isinstance(key, str) else key
+    return key if len(key) <= 64 else hashlib.blake2b(key).digest()
+
+
+def assign_surrogates(docs, key, text_col="text"):
     """``kind, canonical, attempt, surrogate`` of every entity of the corpus, without collisions."""
     bounded_batches(docs)
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -291,19 +351,20 @@ def _redrawn_blocks(drawn):
     yield block
 
 
-def replace_entities(docs, text_col="text", key=KEY, entities="entities"):
+def replace_entities(docs, text_col="text", key=None, entities="entities"):
     """``docs`` with surrogates in ``text_col``, and the kinds of each text's entities
     in the array column ``entities``."""
-    drawn = assign_surrogates(docs, text_col, key)
+    key = key_of(docs.sparkSession, key)
+    drawn = assign_surrogates(docs, key, text_col)
     entities, tries = free_name(docs, entities), free_name(docs, "attempts")
     text_at = docs.columns.index(text_col)
     out = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
-    blocks = list(_redrawn_blocks(drawn)) if drawn.filter("attempt > 0").limit(REDRAWN_BLOCK + 1).count() <= REDRAWN_BLOCK else None
-    if blocks is not None:
-        return _replaced(out, text_at, key, blocks[0], None, entities)
+    if drawn.filter("attempt > 0").limit(REDRAWN_BLOCK + 1).count() <= REDRAWN_BLOCK:
+        return _replaced(out, text_at, key, next(_redrawn_blocks(drawn)), None, entities)
     out = out.withColumn(tries, F.lit(None).cast("map<string,int>"))
     for block in _redrawn_blocks(drawn):
-        out = _noted(out, text_at, block)
+        # Stored, so that one block at a time is held.
+        out = stage(_noted(out, text_at, block), "noted")
     return _replaced(out, text_at, key, {}, tries, entities)
 
 
@@ -339,12 +400,12 @@ def _replaced(docs, text_at, key, attempts, tries, entities):
     return docs.mapInArrow(task, schema)
 
 
-def pseudonymize(docs, id_col="doc_id", text_col="text"):
+def pseudonymize(docs, id_col="doc_id", text_col="text", key=None):
     """One row per document: its text with surrogates, and the kinds of its entities."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return replace_entities(rows).withColumn("n_entities", F.size("entities").cast("long"))
+    return replace_entities(rows, key=key).withColumn("n_entities", F.size("entities").cast("long"))
 
 
-def remove_pii(docs, text_col="text"):
+def remove_pii(docs, text_col="text", key=None):
     """``docs`` with surrogates in their texts; no other column changes."""
-    return replace_entities(docs, text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return replace_entities(docs, text_col, key).select(*[F.col(f"`{c}`") for c in docs.columns])
