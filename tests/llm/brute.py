@@ -41,15 +41,9 @@ def near_duplicates(rows):
         for x in s:
             where.setdefault(x, []).append(at)
     pairs = {p for group in where.values() for p in itertools.combinations(group, 2)}
-    by_id = {}
-    for at, (i, _) in enumerate(sets):
-        by_id.setdefault(i, []).append(at)
     for a, b in pairs:
         if linked(sets[a][1], sets[b][1]):
             label[root(a)] = root(b)
-    for group in by_id.values():
-        for other in group[1:]:
-            label[root(other)] = root(group[0])
     least = {}
     for at, (i, _) in enumerate(sets):
         least[root(at)] = min(least.get(root(at), i), i)

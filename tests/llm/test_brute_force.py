@@ -35,6 +35,18 @@ def test_near_duplicates_of_odd_rows(odd_docs):
     assert got == brute.near_duplicates([(i, t) for i, t in TEXTS if i is not None])
 
 
+def test_unlike_texts_under_one_id_stay(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, one, "x"), (1, two, "x"), (2, three, "x"), (3, two + " end", "x"), (1, one, "y"), (4, None, "x"),
+            (4, None, "y"), (4, " ", "x"), (5, "b0 b1", "x"), (5, "b0 b1 b2", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id string")
+    got = sorted((r.doc_id, r.text or "") for r in neardup.remove_near_duplicates(docs).collect())
+    # The third is a copy of one of the texts of 1, and no row but the exact repeats is lost.
+    assert got == sorted([(1, one), (1, two), (2, three), (4, ""), (4, " "), (5, "b0 b1"), (5, "b0 b1 b2")])
+    links = tuples(link_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
+    assert links == brute.near_duplicates([r[:2] for r in rows])
+
+
 def chain(n, length=60, step=3):
     """Copies that each differ from the next by a few words, so that only neighbours are linked."""
     words = [f"w{i}" for i in range(length + n * step)]

@@ -12,9 +12,9 @@ a key of the 3 others: two signatures within the radius share one of the 80 keys
 
 Large groups of copies are not expanded into pairs:
 
-1. Equal sets are one class, stood for by the smallest id.
+1. Equal sets are one class, known by a stored number.
 2. In each bucket (classes with a key in common) all classes are paired with the
-   smallest id only, and each class is confirmed against the nearest of those.
+   smallest number only, and each class is confirmed against the nearest of those.
    Confirmed links join most copies of a group in one component.
 3. In buckets that still hold more than one component, classes of different
    components within the radius are compared by signature. Each bucket tells only
@@ -32,9 +32,10 @@ Links are confirmed on the full sets (64-bit hashes of the shingles). Only texts
 of classes that share a bucket are fetched again for that.
 
 Defined cases: NULL or empty text, or text without words, has an empty set and is
-linked with nothing; fewer than five words are one shingle; rows with the same id
-are one document, whose component joins what either row is linked with; a row
-with a NULL id is kept, and names no component; an empty table gives no rows.
+linked with nothing; fewer than five words are one shingle; rows are told apart by id
+and text, so unlike texts under one id are not linked by it, and both stay; rows of one id
+and text are one document; a row with a NULL id is kept, and names no component; an empty
+table gives no rows.
 """
 
 import hashlib
@@ -108,9 +109,9 @@ def _sign(batches):
             digests += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             symbols += [row.tobytes() for row in signatures(hashes, starts)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+            [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
              pa.array(symbols, pa.binary())],
-            ["doc_id", "n_shingles", "digest", "signature"],
+            ["doc_id", "mark", "n_shingles", "digest", "signature"],
         )
 
 
@@ -248,14 +249,23 @@ def _schema(id_type, /, **others):
 
 
 def sign(docs, id_col="doc_id", text_col="text"):
-    """``doc_id``, ``n_shingles``, a digest of the set and the signature of each row; narrow."""
+    """``doc_id``, ``mark`` of the text, ``n_shingles``, a digest of the set and the
+    signature of each row; narrow."""
     bounded_batches(docs)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    node = rows.schema["doc_id"].dataType
-    schema = _schema(node, doc_id="node", n_shingles=T.LongType(), digest=T.BinaryType(), signature=T.BinaryType())
+    rows = _marked(docs, id_col, text_col)
+    schema = _schema(
+        rows.schema["doc_id"].dataType, doc_id="id", mark=T.LongType(), n_shingles=T.LongType(),
+        digest=T.BinaryType(), signature=T.BinaryType(),
+    )
     return rows.mapInArrow(_sign, schema)
 
 
+def _marked(docs, id_col="doc_id", text_col="text"):
+    """``doc_id, mark, text``; with the id, the mark tells a document from others."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+
+
 def _within_radius(pairs, signed, node):
     """Pairs ``a, b`` whose signatures are near, with their distance."""
     of_a = signed.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"))
@@ -345,15 +355,18 @@ def _late_links(regions, sets, node):
     return _by_group(dealt).mapInArrow(_confirm_regions, _schema(node, a="node", b="node"))
 
 
-def link_duplicates(docs, id_col="doc_id", text_col="text"):
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest
-    id that can be reached, itself included) and ``kept``."""
-    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    node = docs.schema["doc_id"].dataType
+def _link(docs):
+    """The signed rows of ``doc_id, text``, and the classes of their sets: ``node, doc_id,
+    mark`` of the first row, ``digest``, and ``component``, the first ``doc_id, mark,
+    node`` of all classes that can be reached."""
     rows = stage(sign(docs), "signed")
-    filled = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    node = T.LongType()
     classes = stage(
-        filled.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "classes"
+        rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("digest")
+        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "signature", "first.*"),
+        "classes",
     )
     signed = classes.select("node", "signature")
 
@@ -367,24 +380,33 @@ def link_duplicates(docs, id_col="doc_id", text_col="text"):
     pairs = star.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     near = stage(_within_radius(pairs, signed, node), "near")
     nodes = star.select("node").unionAll(star.select("leader")).distinct()
-    # The smallest id of a class may name other texts too, if ids repeat: its sets are those of all its rows.
-    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.hint(MERGE), "node", "left_semi")
+    wanted = classes.select("node", "doc_id", "mark").join(nodes, "node")
+    texts = _marked(docs).join(wanted.hint(MERGE), ["doc_id", "mark"]).select("node", "text")
     sets = stage(texts.mapInArrow(_full_sets, _schema(node, node="node", shingles=T.BinaryType())), "sets")
 
     nearest = near.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
-    repeated = _same_id(filled, classes)
-    links = _confirmed(nearest, sets, node).unionAll(repeated)
-    known = connected_components(links)
+    known = connected_components(_confirmed(nearest, sets, node))
 
     late = _late_links(_regions(star, near, known, signed, node), sets, node)
     joined = connected_components(late).select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
     # Nodes that only the late links name stand for themselves so far.
     named = known.unionAll(joined.select(F.col("component").alias("node"), "component")).distinct()
-    final = named.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
-    by_digest = classes.select("digest", "node").join(final, "node", "left").select(
-        F.col("digest").alias("of"), F.coalesce("component", "node").alias("component")
+    final = named.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("group"))
+    members = final.join(classes.select("node", F.struct("doc_id", "mark", "node").alias("own")), "node")
+    least = members.groupBy("group").agg(F.min("own").alias("component"))
+    linked = members.join(least, "group").select("node", "component")
+    return rows, classes.drop("signature").join(linked, "node", "left").withColumn(
+        "component", F.coalesce("component", F.struct("doc_id", "mark", "node"))
     )
+
+
+def link_duplicates(docs, id_col="doc_id", text_col="text"):
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest
+    id that can be reached, itself included) and ``kept``."""
+    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows, classes = _link(docs)
+    by_digest = classes.select(F.col("digest").alias("of"), F.col("component.doc_id").alias("component"))
     out = rows.join(by_digest, (F.col("digest") == F.col("of")) & (F.col("n_shingles") > 0), "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
@@ -392,18 +414,16 @@ def link_duplicates(docs, id_col="doc_id", text_col="text"):
     )
 
 
-def _same_id(filled, classes):
-    """Links between the classes of rows that share an id."""
-    named = filled.select("doc_id", "digest").distinct().join(classes.select("digest", "node"), "digest")
-    first = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a != last")
-    return named.join(first, "doc_id").filter("node != a").select("a", F.col("node").alias("b"))
-
-
 def remove_near_duplicates(docs, id_col="doc_id", text_col="text"):
-    """One document of each component, all columns unchanged: the one whose id names
-    it, and one row of that if ids repeat. Rows with a NULL id stay."""
-    name, key = free_name(docs, "kept_id"), F.col(f"`{id_col}`")
-    kept = link_duplicates(docs, id_col, text_col).filter("kept AND doc_id IS NOT NULL")
-    kept = kept.select(F.col("doc_id").alias(name)).distinct()
-    chosen = docs.join(kept.hint(MERGE), key == F.col(name), "left_semi")
-    return chosen.dropDuplicates([id_col]).unionByName(docs.filter(key.isNull()))
+    """One document of each component, all columns unchanged: the one whose id names it.
+    Documents without words stay, and so do rows with a NULL id; of rows with the same id
+    and text one stays."""
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    name, mark = free_name(docs, "kept_id"), free_name(docs, "kept_mark")
+    rows, classes = _link(docs.select(key.alias("doc_id"), text.alias("text")))
+    first = classes.filter("component.node = node").select("doc_id", "mark")
+    kept = first.unionAll(rows.filter("n_shingles = 0 AND doc_id IS NOT NULL").select("doc_id", "mark")).distinct()
+    kept = kept.select(F.col("doc_id").alias(name), F.col("mark").alias(f"{mark}_"))
+    marked = docs.withColumn(mark, F.xxhash64(text))
+    chosen = marked.join(kept.hint(MERGE), (key == F.col(name)) & (F.col(mark) == F.col(f"{mark}_")), "left_semi")
+    return chosen.dropDuplicates([id_col, mark]).drop(mark).unionByName(docs.filter(key.isNull()))
