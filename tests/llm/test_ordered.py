@@ -39,7 +39,7 @@ def check_tokens(texts):
 ODD = [
     None, "", " ", "\n\t x\u000by\u000cz \r", "Don't CAN'T we'll 'twas '' ''s !'s", "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|>",
     "x<|endoftext|> <|endoftext|>", "ΟΔΟΣ ὈΔΥΣΣΕΎΣ Σ", "é ́  nbsp wide\u0085next", "İstanbul ŉ ſ ß ÷ ×", "日本語 文。中文", "🙂🙂 🏳️‍🌈",
-    "1234 5.6 v2x", "\u001c\u001f \u0000 ﻿", "ａＢ ﬁ ① ²", "x" * 70, "y" * 5000 + " " + "z-" * 900, "I.B.M.\" (ok?) end.)",
+    "1234 5.6 v2x", "a\x01b \x01 \x01\x01", "\u001c\u001f \u0000 ﻿", "ａＢ ﬁ ① ²", "x" * 70, "y" * 5000 + " " + "z-" * 900, "I.B.M.\" (ok?) end.)",
 ]
 
 

@@ -26,9 +26,11 @@ Defined cases: NULL and empty text has the end token only; repeated rows are doc
 their own; a NULL id stays NULL; an empty table gives no rows.
 """
 
+import json
 import os
 import re
 from collections import deque
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,54 +56,83 @@ SEQUENCE_BITS = 33
 # Words that a worker remembers, and their length; bounds its memory.
 REMEMBERED, LONGEST = 1_000_000, 64
 
-# What ends a sentence, and what may follow.
+# How the vocabulary cuts normalized text into pieces; letters and signs for
+# which that needs no tables of Unicode; and the same cut for those in lower case.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ž]+").fullmatch
+PIECES = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž\n]+").findall
+# Fixed value: what ends a sentence, and what may follow.
 SENTENCE_END = r"[.!?…。！？][\"')\]}»”’]*$"
 
 
 class WordEncoder:
-    """Token ids of words, for a vocabulary that drops white space.
+    """Token ids of words, for vocabularies of lower-case pieces without white space.
 
-    Words that are not known yet go through the library many at a time, with one of the
-    vocabulary's special tokens between them; texts on both sides of it are encoded by
-    themselves. ``flat`` holds the ids of all known words, ``sizes`` how many each has."""
+    Words of plain letters and signs are cut into pieces here, and each different piece
+    goes through the library's merges; other words go through the whole library. ``flat``
+    holds the ids of all known words, ``sizes`` how many each has."""
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.mark, token = next((i, t) for i, t in sorted(special.items()) if t.special and not t.normalized)
-        self.between = token.content
-        self.special = re.compile("|".join(re.escape(t.content) for t in special.values())).search
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        cut, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        suffix = spec["model"].get("end_of_word_suffix")
+        if steps != ["NFC", "Replace", "Lowercase"] or cut.get("pattern", {}).get("Regex") != CUT or not suffix:
+            raise ValueError(f"{path} has other pieces than lower-case ones without white space")
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
+        between = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}
+        self.merges = Tokenizer.from_str(
+            json.dumps(spec | {"truncation": None, "padding": None, "normalizer": None, "pre_tokenizer": between})
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        special = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(special) if special else "(?!)").search
         self._forget()
 
     def _forget(self):
         self.known, self.passing = {}, []
         self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _library(self, texts):
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _of_texts(self, texts, tokenizer=None):
+        """Sizes and ids of texts by themselves."""
+        tokenizer = tokenizer or self.tokenizer
+        each = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        return sizes, np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))
+
+    def _of_plain(self, words):
+        """The same of plain words."""
+        coded = pa.array(PIECES("\n".join(words).lower()), pa.string()).dictionary_encode()
+        pieces, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        border = pieces.index("\n") if "\n" in pieces else -1
+        texts = [" ".join(p for p in pieces[at : at + 100] if p != "\n") for at in range(0, len(pieces), 100)]
+        flat = self._of_texts(texts, self.merges)[1]
+        sizes = np.diff(np.flatnonzero(self.last[flat]), prepend=-1)
+        if border >= 0:
+            sizes = np.insert(sizes, border, 0)
+        lengths = sizes[codes]
+        word = np.cumsum(codes == border)
+        return np.bincount(word, lengths, len(words)).astype(np.int64), gathered(flat, sizes, codes)
 
     def _learn(self, words):
-        """Ids of words that are not known."""
-        flat, sizes = [self.flat], [self.sizes]
-        for begin in range(0, len(words), 1000):
-            some = words[begin : begin + 1000]
-            if self.special(" ".join(some)):
-                each = self._library(some)
-                sizes.append(np.array([len(x) for x in each]))
-                flat += [x.astype(np.uint32) for x in each]
-                continue
-            ids = self._library([self.between.join(some)])[0]
-            marks = np.flatnonzero(ids == self.mark)
-            sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
-            flat.append(ids[ids != self.mark].astype(np.uint32))
-        for at, word in enumerate(words, len(self.sizes)):
-            self.known[word] = at
-        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+        """Ids of words that are not known; long ones come last."""
+        plain, odd = [], []
+        for word in words:
+            (plain if len(word) <= LONGEST and PLAIN(word) else odd).append(word)
+        if self.special(" ".join(plain)):
+            odd = [w for w in plain if self.special(w)] + odd
+            plain = [w for w in plain if not self.special(w)]
+        for some, of in ((plain, self._of_plain), (odd, self._of_texts)):
+            if some:
+                sizes, flat = of(some)
+                self.known.update(zip(some, range(len(self.sizes), len(self.sizes) + len(some))))
+                self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
 
     def codes(self, words):
         """The places of different words in ``sizes``, until the next call."""
@@ -112,13 +143,20 @@ class WordEncoder:
         for word in self.passing:
             del self.known[word]
         self.flat, self.sizes = self.flat[: int(self.sizes[:kept].sum())], self.sizes[:kept]
-        known = self.known
-        fresh = [w for w in words if w not in known]
+        places = list(map(self.known.get, words))
+        fresh = [w for w, place in zip(words, places) if place is None]
         self.passing = [w for w in fresh if len(w) > LONGEST]
         if self.passing:
             fresh = [w for w in fresh if len(w) <= LONGEST] + self.passing
         self._learn(fresh)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return np.array([self.known[w] if place is None else place for w, place in zip(words, places)], np.int64)
+
+
+def gathered(flat, sizes, codes):
+    """The stretches of ``flat`` that the codes name, one after another."""
+    lengths = sizes[codes]
+    shift = (np.cumsum(sizes) - sizes)[codes] - (np.cumsum(lengths) - lengths)
+    return flat[np.repeat(shift, lengths) + np.arange(lengths.sum())]
 
 
 def encode_texts(encoder, column, end=END):
@@ -133,17 +171,15 @@ def encode_texts(encoder, column, end=END):
     bounds = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[offsets - offsets[0]]
     coded = of_row.filter(full).dictionary_encode()
     different = coded.dictionary
-    places = encoder.codes(different.to_pylist())
+    places = encoder.codes(different.to_numpy(zero_copy_only=False).tolist())
     # The end token is one more word, after the last of each text.
     sizes = np.append(encoder.sizes, 1)
     flat = np.append(encoder.flat, np.uint32(end))
     stops = np.append(pc.match_substring_regex(different, SENTENCE_END).to_numpy(zero_copy_only=False), False)
     codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds[1:], len(different))
     stops, codes = stops[codes], np.append(places, len(sizes) - 1)[codes]
-    lengths = sizes[codes]
-    after = np.cumsum(lengths)
-    ids = flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - (after - lengths), lengths) + np.arange(lengths.sum())]
-    return ids, np.concatenate([[0], after[bounds[1:] + np.arange(len(column))]]), after[stops]
+    after = np.cumsum(sizes[codes])
+    return gathered(flat, sizes, codes), np.concatenate([[0], after[bounds[1:] + np.arange(len(column))]]), after[stops]
 
 
 def best_cuts(places, penalties, capacity=CAPACITY, window=WINDOW):
@@ -183,6 +219,12 @@ def best_cuts(places, penalties, capacity=CAPACITY, window=WINDOW):
     return ends[::-1]
 
 
+def _ascending(parts):
+    """The different values of some arrays, in order."""
+    places = np.sort(np.concatenate(parts), kind="stable")
+    return places[np.concatenate([[True], places[1:] != places[:-1]])]
+
+
 class OrderedPacker:
     """Windows of a stream of documents, block by block."""
 
@@ -212,20 +254,21 @@ class OrderedPacker:
 
     def _candidates(self, end):
         """Places for cuts up to ``end``, and their penalties."""
-        stops = [np.array([end])] + [x[: np.searchsorted(x, end, "right")] for x in (self.doc_ends, self.places)]
+        stops = [np.array([end])]
+        stops += [x[np.searchsorted(x, self.begin, "right") : np.searchsorted(x, end, "right")] for x in (self.doc_ends, self.places)]
         if end == self.end:
             # The last windows may be short ones: powers of two, counted from the end.
             stops.append(np.arange(end - STRIDE, max(self.begin, end - self.capacity), -STRIDE))
-        places = np.unique(np.concatenate(stops))
+        places = _ascending(stops)
         places = places[places > self.begin]
         stride = min(STRIDE, self.capacity)
         gaps = np.diff(places, prepend=self.begin)
         more = (gaps - 1) // stride
         filled = np.repeat(places - gaps, more) + stride * (1 + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more))
-        places = np.unique(np.concatenate([places, filled]))
+        places = _ascending([places, filled])
         penalties = np.full(len(places), ANYWHERE)
-        for at, cost in ((self.places, SENTENCE), (self.doc_ends, 0)):
-            penalties[np.isin(places, at)] = cost
+        for at, cost in ((stops[2], SENTENCE), (stops[1], 0)):
+            penalties[np.searchsorted(places, at)] = cost
         return places, penalties
 
     def _pack(self, end):
