@@ -176,6 +176,13 @@ def test_base_scores_and_model(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_end_of_text_is_known_among_many_words(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(140_000)))], "doc_id long, text string")
+    got, want = score_documents(docs).first(), brute.base_scores(pairs_of(docs))[1]
+    assert (got.n_tokens, got.n_known, got.train_tokens) == want[:3] == (140_001, 140_001, 140_001)
+    assert math.isclose(got.base_score, want[3], rel_tol=1e-9)
+
+
 def test_shards(odd_docs, small):
     from pyspark.sql import functions as F
 

@@ -60,6 +60,8 @@ WANTED, MOST_PASSES, TASK_WORDS = 20_000_000, 12, 5_000_000
 # values of a parameter row in a shuffle.
 TRAINED, COUNTED, BATCH, SLAB = 1 << 15, 1 << 20, 1 << 16, 1 << 16
 SKETCH = 12
+# Sums of a slab in the first of two steps.
+ADDED = 256
 SMOOTH = 0.1
 # Fixed value: the word that stands for the end of a text among the counts.
 END_WORD = -1
@@ -276,24 +278,34 @@ class LogBilinear:
         return zip(classes[at].tolist(), at.tolist(), [*at[1:].tolist(), len(classes)])
 
     def log_probabilities(self, two, one, target):
-        """Natural logarithms of the normalised probabilities, a batch at a time."""
+        """Natural logarithms of the normalised probabilities, a batch at a time.
+
+        What the classes add up to depends on the two units before only, and what the
+        units of a class add up to on those and the class: neighbours that agree in
+        these share one row of products."""
         far, near = self._tables()
         p, out = self.p, np.empty(len(target), np.float32)
         for begin in range(0, len(target), BATCH):
             part = slice(begin, begin + BATCH)
+            first, run = _runs_of(two[part] * self.units + one[part])
+            hidden = far[two[part][first]] + near[one[part][first]]
             ranks = self.rank[target[part]]
-            order = np.argsort(ranks.astype(np.uint16), kind="stable")
-            ranks = ranks[order]
             classes = self.unit_class[self.order[ranks]]
-            hidden = far[two[part][order]] + near[one[part][order]]
             found = np.empty(len(ranks), np.float32)
-            for some in range(0, len(ranks), 4096):
-                piece = slice(some, some + 4096)
-                found[piece] = _log_share(hidden[piece] @ p["classes"].T + p["class_bias"], classes[piece])
+            for some in range(0, len(first), 4096):
+                rows = slice(some, some + 4096)
+                own = slice(first[some], first[some + 4096] if some + 4096 < len(first) else len(run))
+                found[own] = _log_share(hidden[rows] @ p["classes"].T + p["class_bias"], run[own] - some, classes[own])
+            order = np.argsort(classes.astype(np.int64) * len(first) + run, kind="stable")
+            classes, run, ranks = classes[order], run[order], ranks[order]
+            within = np.empty(len(ranks), np.float32)
             for c, a, b in self._by_class(classes):
                 own = slice(self.first[c], self.first[c + 1])
-                found[a:b] += _log_share(hidden[a:b] @ p["units"][own].T + p["bias"][own], ranks[a:b] - own.start)
-            out[begin + order] = found
+                heads, pair = _runs_of(run[a:b])
+                scores = hidden[run[a:b][heads]] @ p["units"][own].T + p["bias"][own]
+                within[a:b] = _log_share(scores, pair, ranks[a:b] - own.start)
+            found[order] += within
+            out[part] = found
         return out
 
     def log_table(self):
@@ -376,16 +388,22 @@ class LogBilinear:
         return self
 
 
-def _log_share(scores, at):
-    rows = np.arange(len(at))
-    picked = scores[rows, at]
+def _runs_of(values):
+    """Where each run of equal neighbours begins, and which run each value is in."""
+    new = np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]])
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _log_share(scores, row, at):
+    """Logarithm of the share of ``scores[row, at]`` in the exponentials of its row."""
+    picked = scores[row, at]
     ones = np.ones(scores.shape[1], np.float32)
     with np.errstate(over="ignore", invalid="ignore"):
         total = np.exp(scores) @ ones
     if not ((total > 0) & np.isfinite(total)).all():
         most = scores.max(1)
-        total, picked = np.exp(scores - most[:, None]) @ ones, picked - most
-    return picked - np.log(total)
+        total, picked = np.exp(scores - most[:, None]) @ ones, picked - most[row]
+    return picked - np.log(total)[row]
 
 
 def _runs(batches):
@@ -415,11 +433,13 @@ def _counted(texts, begin, rng):
 
 
 def _slabs(values, weight):
-    """A flat array as rows ``part``, ``weight``, ``data``; a few at a time."""
+    """A flat array as rows ``part``, ``some``, ``weight``, ``data``; a few at a time.
+    ``some`` deals the tasks out to about the root of their number."""
+    some = TaskContext.get().partitionId() % ADDED
     for begin in range(0, len(values), SLAB):
         data = (values[begin : begin + SLAB] * np.float32(weight)).astype(np.float32).tobytes()
-        arrays = [pa.array([begin // SLAB]), pa.array([float(weight)]), pa.array([data], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["part", "weight", "data"])
+        arrays = [pa.array([begin // SLAB]), pa.array([some]), pa.array([float(weight)]), pa.array([data], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["part", "some", "weight", "data"])
 
 
 def _add_slabs(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,16 +449,19 @@ def _add_slabs(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) ->
             value = np.frombuffer(data, np.float32).astype(np.float64)
             total, weight = value if total is None else total + value, weight + w
     yield pa.RecordBatch.from_arrays(
-        [pa.array([key[0].as_py()]), pa.array([weight]), pa.array([total.astype(np.float32).tobytes()], pa.binary())],
-        ["part", "weight", "data"],
+        [pa.array([key[0].as_py()]), pa.array([0]), pa.array([weight]),
+         pa.array([total.astype(np.float32).tobytes()], pa.binary())],
+        ["part", "some", "weight", "data"],
     )
 
 
 def _summed(frame, task):
     """``(sum, weight)`` of the arrays that ``task`` gives; None without any. Added up by
-    Spark, so the driver gets one array however many tasks there are."""
-    kind = "part long, weight double, data binary"
-    rows = frame.mapInArrow(task, kind).groupBy("part").applyInArrow(_add_slabs, kind).collect()
+    Spark in two steps, so no task adds up what all tasks gave, and the driver gets one
+    array however many there are."""
+    kind = "part long, some long, weight double, data binary"
+    added = frame.mapInArrow(task, kind).groupBy("part", "some").applyInArrow(_add_slabs, kind)
+    rows = added.groupBy("part").applyInArrow(_add_slabs, kind).collect()
     rows.sort(key=lambda r: r.part)
     return (np.concatenate([np.frombuffer(r.data, np.float32) for r in rows]), rows[0].weight) if rows else (None, 0)
 
@@ -590,7 +613,7 @@ def score_documents(docs, id_col="doc_id", text_col="text", lang_col="lang", mos
     counts = stage(by_lang.groupBy("word").agg(F.min("unit").alias("unit"), F.sum("n").alias("n")), "words")
 
     head_words = _head_words(by_lang, most, least).withColumn("head", F.lit(True))
-    common = counts.join(head_words.hint(MERGE), "word", "left").filter(F.col("head") | _common(counts))
+    common = counts.join(head_words.hint(MERGE), "word", "left").filter(F.col("head") | _common(counts) | (F.col("word") == END_WORD))
     common = common.select("word", "n", "unit", F.coalesce("head", F.lit(False)).alias("head")).toPandas()
     common = common.sort_values(["n", "word"], ascending=[False, True])
     words, n, tail = (common[c].to_numpy(np.int64) for c in ("word", "n", "unit"))
