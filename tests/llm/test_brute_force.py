@@ -224,3 +224,19 @@ def test_languages_of_unseen_documents(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in unseen) >= 0.95 * len(unseen)
     sure = [r for r in unseen if not r.rejected]
     assert sum(r.lang_pred == lang[r.doc_id] for r in sure) >= 0.97 * len(sure)
+
+
+def test_dictionaries_hold_all_parts_of_long_texts(spark):
+    from visitlog.llm.language import learn_dictionaries, spread
+
+    words = [f"w{i:05d}" for i in range(20_000)]
+    docs = spark.createDataFrame([(1, " ".join(words), "xx"), (2, "short", "xx")], "doc_id long, text string, lang string")
+    (long,), (short,) = docs.orderBy("doc_id").select(spread(docs["text"], 1000)).collect()
+    seen = [int(w[1:]) for w in long.split() if len(w) == 6]
+    assert short == "short" and 900 < len(long) < 1100
+    assert seen == sorted(seen) and seen[0] < 100 and seen[-1] > 19_900
+    assert max(b - a for a, b in zip(seen, seen[1:])) < 2_000
+    # All sampled rows are in the dictionary.
+    few = spark.createDataFrame([(i, f"name{i} " * 200, "yy") for i in range(50)], "doc_id long, text string, lang string")
+    held = learn_dictionaries(few, per_language=50, dictionary_bytes=5000)["yy"].decode()
+    assert all(f"name{i} " in held for i in range(50)) and len(held) <= 5000

@@ -5,10 +5,12 @@ text is compressed once with every dictionary, and the language whose dictionary
 gives the smallest result is chosen; the margin is how much larger the next one
 is, relative to it. Where the margin is narrow the choice is marked as rejected.
 
-The dictionaries are the only thing that is learnt, from a bounded sample: for
-each language the ``per_language`` labelled rows with the smallest hash of their
-id, cut to ``dictionary_bytes`` together. Every text is predicted whole, in lower
-case.
+The dictionaries are the only thing that is learnt, from a bounded sample: for each
+language the ``per_language`` labelled rows with the smallest hash of their id and text.
+Each gives an equal part of the dictionary's ``dictionary_bytes`` (less where there are
+more languages than ``ALL_BYTES`` holds): the whole text, if it is that short, else
+stretches of it at even distances from its beginning to its end, so that a long text
+teaches all its parts alike. Every text is predicted whole, in lower case.
 
 Defined cases: text that is NULL or has no letter is ``und`` with score 0; rows
 with a NULL language are never learnt from; without labelled rows all are
@@ -31,6 +33,19 @@ ALL_BYTES = 32 << 20
 # A fast level, whose size depends most on what the dictionary holds.
 LEVEL = -1
 NARROW = 0.01
+# Characters of one stretch of a long text.
+STRETCH = 80
+
+
+def spread(text, most):
+    """About ``most`` characters of a text column, in stretches spread over all of it."""
+    n = max(1, most // STRETCH)
+    size, length = most // n, F.length(text)
+    step = (length - size) / max(1, n - 1)
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(size))
+    )
+    return F.when(length <= most, text).otherwise(F.array_join(stretches, " "))
 
 
 def learn_dictionaries(labelled, per_language=PER_LANGUAGE, dictionary_bytes=DICTIONARY_BYTES):
@@ -43,8 +58,9 @@ def learn_dictionaries(labelled, per_language=PER_LANGUAGE, dictionary_bytes=DIC
     # as many pass, however large the language is: only those are shuffled.
     shares = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, 4 * per_language / r.n))])
     place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / float(1 << 53)
-    each = dictionary_bytes // max(1, per_language // 8)
-    few = usable.select("lang", "doc_id", place.alias("place"), F.substring("text", 1, each).alias("text")).filter(
+    size = min(dictionary_bytes, ALL_BYTES // len(sizes))
+    each = max(1, size // per_language)
+    few = usable.select("lang", "doc_id", place.alias("place"), spread(F.col("text"), each).alias("text")).filter(
         F.col("place") <= shares[F.col("lang")]
     )
     order = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
@@ -53,7 +69,6 @@ def learn_dictionaries(labelled, per_language=PER_LANGUAGE, dictionary_bytes=DIC
     texts = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.nth)):
         texts.setdefault(row.lang, []).append(row.text.lower().encode("utf-8", "replace"))
-    size = min(dictionary_bytes, ALL_BYTES // max(1, len(texts)))
     return {lang: b"\n".join(parts)[:size] for lang, parts in texts.items()}
 
 
