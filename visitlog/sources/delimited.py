@@ -1,6 +1,7 @@
 """Headerless delimited files."""
 
 from visitlog.schema import RAW_WIDTH, positional_schema
+from visitlog.sources.quoted import read_quoted_csv
 
 
 def read_positional_csv(spark, path, width=RAW_WIDTH, sep=",", rfc4180=False, line_sep=None):
@@ -8,13 +9,14 @@ def read_positional_csv(spark, path, width=RAW_WIDTH, sep=",", rfc4180=False, li
 
     Longer rows are cut at ``width``, shorter ones padded with NULL, and both
     quoted and unquoted empty fields are NULL. ``rfc4180`` reads doubled quotes
-    and quoted line breaks; it makes each file one task, so it is opt-in. Records
-    end at any line break unless ``line_sep`` names it; only then do other line
-    breaks within cells come back as they are.
+    and quoted line breaks (see :func:`visitlog.sources.quoted.read_quoted_csv`); that
+    shuffles the lines once, so it is opt-in. Records end at any line break unless
+    ``line_sep`` names it; only then do other line breaks within cells come back as
+    they are.
     """
-    reader = spark.read.schema(positional_schema(width)).option("header", False).option("sep", sep)
     if rfc4180:
-        reader = reader.option("escape", '"').option("multiLine", True)
+        return read_quoted_csv(spark, path, width, sep, line_sep)
+    reader = spark.read.schema(positional_schema(width)).option("header", False).option("sep", sep)
     if line_sep:
         reader = reader.option("lineSep", line_sep)
     return reader.csv(path)
