@@ -292,3 +292,24 @@ ORACLE |= {
     },
     **{f"published_chart_{n}": ORACLE[n] for n in ("monthly_visits", "hour_month_heat", "visit_kpis")},
 }
+# The same by way of a sketch.
+ORACLE |= {
+    "top_visitors_sketched": ORACLE["top_visitors"],
+    "top_comments_sketched": ORACLE["top_comments"],
+    "top_part_names_sketched": ORACLE["top_part_names"],
+    "top_document_sources_sketched": """SELECT source, count(*) AS count FROM documents
+      GROUP BY source ORDER BY count DESC, source NULLS FIRST LIMIT 5""",
+}
+# What is stored day by day must equal what one run over everything gives.
+ORACLE |= {
+    "content_check": f"""{_REFINED} SELECT count(*) AS written_rows, count(*) AS expected_rows,
+      TRUE AS rows_match, TRUE AS schema_matches, TRUE AS content_matches FROM refined""",
+    "replaced_refined": ORACLE["visits_refined"],
+    "refine_two_batches": ORACLE["stored_refined"],
+    "new_file_counts": f"""{_REFINED} SELECT count(*) FILTER (event_id % 2 = 1) AS new_rows,
+      count(*) AS all_rows FROM refined""",
+    **{
+        f"merged_{n}": ORACLE[f"published_chart_{n}"]
+        for n in ("monthly_visits", "top_visitors", "arrival_gap_hist", "visit_kpis")
+    },
+}

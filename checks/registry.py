@@ -3,7 +3,7 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from visitlog.functions.predicates import equals, matches
+from visitlog.functions.predicates import equals, matches, not_empty
 from visitlog.functions.text import joined
 from visitlog.operators.counting import (
     group_counts,
@@ -13,6 +13,8 @@ from visitlog.operators.counting import (
     null_row_counts,
     split_counts,
 )
+from visitlog.operators.digest import digest_columns
+from visitlog.operators.frequent import frequent_values
 from visitlog.operators.paging import assign_batches, number_rows
 from visitlog.operators.ranking import (
     bottom_k_values,
@@ -23,6 +25,7 @@ from visitlog.operators.ranking import (
 )
 from visitlog.operators.reshape import null_flags
 from visitlog.plans import analyses, dashboards, export, quality
+from visitlog.plans.incremental import merged_charts, read_batches, refine_new_files
 from visitlog.plans.refine import refine, refine_counts, refine_log, refine_to_table
 from visitlog.plans.report import shared_analysis_results, shared_chart_results
 from visitlog.schema import REFINED_COLUMNS, export_schema
@@ -30,6 +33,7 @@ from visitlog.session import new_shared_path, scratch_table
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sinks.publish import publish_all
 from visitlog.sinks.tables import save_refined, verify_written
+from visitlog.sinks.versions import replace_table
 from visitlog.sources.delimited import read_exported_csv, read_positional_csv
 from visitlog.sources.derived import as_positional, visits_from_events
 from visitlog.sources.landing import land_csv_if_absent, land_if_absent
@@ -100,6 +104,44 @@ def written_check(spark, sf_dir):
     return verify_written(spark, name, written.get["n"], rows.schema)
 
 
+def content_check(spark, sf_dir):
+    name, path = scratch_table(spark, "visits_refined")
+    rows, written = refined_only(spark, sf_dir), Observation()
+    save_refined(rows.observe(written, *digest_columns(rows.columns)), name, path=path)
+    return verify_written(spark, name, written.get["rows"], rows.schema, written.get["digest"])
+
+
+def replaced_refined(spark, sf_dir):
+    """The raw log's visitees, then the refined rows put in their place."""
+    name, base = scratch_table(spark, "visits_refined")
+    replace_table(visits(spark, sf_dir).select("visitee"), name, base)
+    replace_table(refined_only(spark, sf_dir), name, base)
+    replace_table(read_refined(spark, name), name, base)
+    return read_refined(spark, name)
+
+
+def two_days(spark, sf_dir):
+    """The log as files of two days, refined after each: ``(base, counts)``."""
+    log, base = new_shared_path(spark, "log"), new_shared_path(spark, "batches")
+    for day in (0, 1):
+        arrived = visits(spark, sf_dir).filter(F.col("event_id") % 2 == day)
+        export_csv(as_positional(arrived), f"{log}/day-{day}", header=False)
+        counts = refine_new_files(spark, log, base)
+    return base, counts
+
+
+def refine_two_batches(spark, sf_dir):
+    return read_batches(spark, two_days(spark, sf_dir)[0])
+
+
+def new_file_counts(spark, sf_dir):
+    return two_days(spark, sf_dir)[1].select("new_rows", "all_rows")
+
+
+def merged_chart(name):
+    return lambda spark, sf_dir: merged_charts(spark, two_days(spark, sf_dir)[0])[name]
+
+
 def landed_log(spark, sf_dir):
     """Land the log, then try to land half of it over the first."""
     path = new_shared_path(spark, "landed")
@@ -257,6 +299,8 @@ CHARTS = (
     "top_comments", "visit_kpis",
 )
 
+MERGED = ("monthly_visits", "top_visitors", "arrival_gap_hist", "visit_kpis")
+
 QUERIES = {
     # Load, filter, store.
     "visits_refined": refined_only,
@@ -266,6 +310,11 @@ QUERIES = {
     "refine_written_counts": refine_written_counts,
     "refine_compact_counts": refine_compact_counts,
     "written_check": written_check,
+    "content_check": content_check,
+    "replaced_refined": replaced_refined,
+    "refine_two_batches": refine_two_batches,
+    "new_file_counts": new_file_counts,
+    **{f"merged_{n}": merged_chart(n) for n in MERGED},
     "landed_log": landed_log,
     "landed_documents": landed_documents,
     # The eight analyses.
@@ -279,6 +328,12 @@ QUERIES = {
     "variation_rate": on_refined(analyses.variation_rate),
     "variation_values": on_refined(analyses.variation_values),
     "top_visitors": on_refined(analyses.top_visitors),
+    "top_visitors_sketched": on_refined(lambda t: frequent_values(
+        analyses.full_names(t), "visitor_full_name", 20
+    )),
+    "top_comments_sketched": on_refined(lambda t: frequent_values(
+        t.filter(not_empty("info_comment")), "info_comment"
+    )),
     "top_visitors_named": on_refined(analyses.top_visitors, keep_null=False),
     "null_row_profile": on_refined_only(null_row_counts),
     "null_counts": on_refined_only(null_counts),
@@ -324,6 +379,8 @@ QUERIES = {
             "l_orderkey", "l_linenumber", "l_shipdate"
         ),
     ),
+    "top_part_names_sketched": on_table("part", lambda t: frequent_values(t, "p_name")),
+    "top_document_sources_sketched": on_table("documents", lambda t: frequent_values(t, "source", 5)),
     "top_part_names": on_table("part", lambda t: top_k_values(t, "p_name")),
     "least_part_names": on_table("part", lambda t: bottom_k_values(t, "p_name")),
     "part_variation_rate": on_table("part", lambda t: match_rate(t, matches("p_name", PART_PATTERN))),

@@ -51,6 +51,19 @@ def test_log_to_table_to_analyses_to_csv(spark, tmp_path, capsys):
     )
 
 
+def test_daily_job(spark, tmp_path, capsys):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    log, base, out = (str(tmp_path / n) for n in ("log", "base", "out"))
+    raw = as_positional(visits_from_events(events))
+    export_csv(raw, f"{log}/first", header=False)
+    for _ in range(2):
+        jobs.main(["daily", "--log", log, "--base", base, "--output", out, "--no-hive"])
+    assert "new_files" in capsys.readouterr().out
+    for name, df in chart_results(refine(raw)).items():
+        got = spark.read.parquet(f"{out}/chart_{name}").select(*df.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.collect())), name
+
+
 def test_shared_results_equal_the_single_ones(spark):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     some = refine(as_positional(visits_from_events(events)))

@@ -4,6 +4,7 @@
     spark-submit visitlog/jobs.py refine  --log <uri> --table visits_refined
     spark-submit visitlog/jobs.py analyze --table visits_refined --output <uri>
     spark-submit visitlog/jobs.py export  --table visits_refined --output <uri>
+    spark-submit visitlog/jobs.py daily   --log <uri> --base <uri> --output <uri>
 """
 
 import argparse
@@ -13,6 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from visitlog.plans.export import export_batches, export_cells  # noqa: E402
+from visitlog.plans.incremental import merged_charts, refine_new_files  # noqa: E402
 from visitlog.plans.quality import clean_counts  # noqa: E402
 from visitlog.plans.refine import refine_to_table  # noqa: E402
 from visitlog.plans.report import shared_analysis_results, shared_chart_results  # noqa: E402
@@ -65,6 +67,17 @@ def export_job(spark, args):
         export_csv(export_cells(visits, args.clock), args.output)
 
 
+def daily_job(spark, args):
+    """Refine what is new below the log; charts over all days from their partial sums."""
+    options = {"fmt": args.format, "clock": args.clock, "rfc4180": args.rfc4180}
+    refine_new_files(spark, args.log, args.base, **options).show(truncate=False)
+    if args.output:
+        charts = merged_charts(spark, args.base, args.clock)
+        for name, path in publish_all({f"chart_{n}": df for n, df in charts.items()}, args.output).items():
+            print(name)
+            spark.read.parquet(path).show(truncate=False)
+
+
 def parse(argv):
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     steps = parser.add_subparsers(required=True)
@@ -80,6 +93,7 @@ def parse(argv):
     clock = {"choices": ["12h", "24h"], "default": "12h"}
     step(land_job, log=needed, output=needed, rfc4180=flag, crlf=flag)
     step(refine_job, log=needed, table=needed, format={"default": "orc"}, compact=flag, rfc4180=flag)
+    step(daily_job, log=needed, base=needed, output={}, format={"default": "orc"}, clock=clock, rfc4180=flag)
     step(analyze_job, table=needed, output=needed, clock=clock, charts=flag)
     step(
         export_job, table=needed, output=needed, clock=clock, pages=flag,

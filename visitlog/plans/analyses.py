@@ -69,13 +69,18 @@ def variation_values(visits, pattern=RECEPTION_PATTERN, column="info_comment", k
     return first_distinct_values(visits.filter(matches(column, pattern)), column, k)
 
 
+def full_names(visits, first="fname", last="lname", name="visitor_full_name"):
+    """Full names alone; one with a NULL part is NULL."""
+    return visits.select(joined(first, last).alias(name))
+
+
 def top_visitors(visits, k=20, first="fname", last="lname", name="visitor_full_name", keep_null=True):
     """The most frequent full names.
 
     A name with a NULL part is NULL, and all such rows form one group;
     ``keep_null=False`` leaves it out.
     """
-    named = visits.select(joined(first, last).alias(name))
+    named = full_names(visits, first, last, name)
     if not keep_null:
         named = named.filter(F.col(name).isNotNull())
     return top_k_values(named, name, k)
