@@ -32,6 +32,20 @@ def test_prefix_counts_equal_the_library(text):
     assert counter.count(text) == want[-1]
 
 
+def test_prefix_counts_take_time_in_proportion():
+    import time
+
+    counter = tokens.counter("byte_bpe_50k.json")
+    for unit in (" ", "\n", " \n", "\t "):
+        text = "a" + unit * 20_000 + " b"
+        begin = time.perf_counter()
+        counts = counter.prefix_counts(text)
+        assert time.perf_counter() - begin < 2
+        assert counts[-1] == counter.count(text) and counts[10_000] == counter.count(text[:10_000])
+    counter.total("x" * 100_000)
+    assert max(map(len, (*counter.known, *counter.spaced, *counter.bare)), default=0) <= tokens.LONGEST
+
+
 def _library(found=[]):
     if not found:
         import public_tokenizers

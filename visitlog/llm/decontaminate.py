@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from visitlog.llm.frames import bounded_batches, free_name
 from visitlog.llm.words import LOWER, PUNCTUATION, hash_words, mix, row_slices, text_bytes
+from visitlog.session import stage
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
@@ -128,7 +129,10 @@ def find_benchmark(docs, benchmark, text_col="text", item_col="item_id", item_te
         T.StructField("items", T.ArrayType(T.StringType())),
     ])
     out = docs.withColumn(found, F.lit(None).cast(kind))
-    for rows in _item_blocks(benchmark, item_col, item_text_col, block_windows):
+    for number, rows in enumerate(_item_blocks(benchmark, item_col, item_text_col, block_windows)):
+        if number:
+            # Stored, so that one block of windows at a time is held, by driver and tasks.
+            out = stage(out, "searched")
         rows = [(None if item_id is None else str(item_id), text) for item_id, text in rows]
         out = out.mapInArrow(_search_task(rows, text_col, found), out.schema)
     return out

@@ -30,8 +30,8 @@ from visitlog.llm.frames import bounded_batches, free_name
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-# Pieces and pairs of tokens that a worker remembers; bounds its memory.
-REMEMBERED = 600_000
+# Pieces and pairs of tokens that a worker remembers, and their length; bounds its memory.
+REMEMBERED, LONGEST = 600_000, 64
 
 # How the vocabulary's texts are cut into pieces, and the same for
 # texts of plain letters, digits, signs and spaces, where it is twice as fast.
@@ -136,9 +136,11 @@ class PrefixCounter:
         for piece in self.pieces(text):
             known = self.known.get(piece)
             if known is None:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                known = self.known[piece] = self.counts(piece.encode("utf-8", "surrogatepass"))[-1]
+                known = self.counts(piece.encode("utf-8", "surrogatepass"))[-1]
+                if len(piece) <= LONGEST:
+                    if len(self.known) >= REMEMBERED:
+                        self.known.clear()
+                    self.known[piece] = known
             n += known
         return n
 
@@ -154,10 +156,15 @@ class PrefixCounter:
         except KeyError:
             if len(known) >= REMEMBERED:
                 known.clear()
+            n = 0
             for word in words:
-                if word not in known:
-                    known[word] = self.total(before + word)
-            return sum(map(known.__getitem__, words))
+                size = known.get(word)
+                if size is None:
+                    size = self.total(before + word)
+                    if len(word) <= LONGEST:
+                        known[word] = size
+                n += size
+            return n
 
     def stretches(self, text):
         """``(stretch, is special)`` of a text cut at its special strings."""
@@ -207,25 +214,28 @@ class PrefixCounter:
         """Prefix counts of a text without special strings.
 
         The pieces before the one that is cut stay as they are, but for two
-        things: spaces at the end of a text form one piece together, and a
-        contraction that is cut is a quote and letters."""
-        out, settled, run, before_run = [0], 0, "", 0
-        for piece in self.pieces(text):
-            if not run:
-                before_run = settled
-            counts = self._letter_counts(piece)
-            if SPACE_ONLY.fullmatch(piece):
-                out += [before_run + self.total(run + piece[:k]) for k in range(1, len(piece) + 1)]
-                run += piece
-            else:
+        things: spaces at the end of a text form one piece together, whose counts
+        are those of its own prefixes, and a contraction that is cut is a quote and
+        letters."""
+        out, settled = [0], 0
+        pieces, at = self.pieces(text), 0
+        while at < len(pieces):
+            first = at
+            while at < len(pieces) and SPACE_ONLY.fullmatch(pieces[at]):
+                at += 1
+            piece = pieces[at] if at < len(pieces) else ""
+            # A run of spaces, with the one that the next piece begins with.
+            run = "".join(pieces[first:at]) + (" " if piece[:1] == " " else "")
+            out += [settled + n for n in self._letter_counts(run)[1:]] if run else []
+            settled += sum(self.total(p) for p in pieces[first:at])
+            if piece:
+                counts = self._letter_counts(piece)
                 inner = [settled + n for n in counts[1:]]
-                if piece[0] == " ":
-                    inner[0] = before_run + self.total(run + " ")
-                elif piece in ("'re", "'ve", "'ll"):
+                if piece in ("'re", "'ve", "'ll"):
                     inner[1] = settled + self.total(piece[:2])
-                out += inner
-                run = ""
-            settled += counts[-1]
+                out += inner[1:] if piece[0] == " " else inner
+                settled += counts[-1]
+                at += 1
         return out
 
     def _letter_counts(self, piece):
