@@ -292,8 +292,14 @@ ORACLE |= {
     },
     **{f"published_chart_{n}": ORACLE[n] for n in ("monthly_visits", "hour_month_heat", "visit_kpis")},
 }
-# The same by way of a sketch.
+_CHECKSUM = " || ".join(
+    f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    for c in ("fname", "lname", "time_of_arrival", "meeting_location", "event_id")
+)
+# The same by way of a sketch, and a sample by checksums.
 ORACLE |= {
+    "missing_purpose_uniform_sample": f"""{_REFINED} SELECT fname, lname, time_of_arrival,
+      meeting_location, event_id FROM refined WHERE {_EMPTY} ORDER BY md5('0|' || {_CHECKSUM}) LIMIT 10""",
     "top_visitors_sketched": ORACLE["top_visitors"],
     "top_comments_sketched": ORACLE["top_comments"],
     "top_part_names_sketched": ORACLE["top_part_names"],

@@ -3,7 +3,7 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from visitlog.functions.predicates import equals, matches, not_empty
+from visitlog.functions.predicates import equals, is_empty, matches, not_empty
 from visitlog.functions.text import joined
 from visitlog.operators.counting import (
     group_counts,
@@ -23,12 +23,12 @@ from visitlog.operators.ranking import (
     latest,
     top_k_values,
 )
-from visitlog.operators.reshape import null_flags
+from visitlog.operators.reshape import null_flags, uniform_sample
 from visitlog.plans import analyses, dashboards, export, quality
 from visitlog.plans.incremental import merged_charts, read_batches, refine_new_files
 from visitlog.plans.refine import refine, refine_counts, refine_log, refine_to_table
 from visitlog.plans.report import shared_analysis_results, shared_chart_results
-from visitlog.schema import REFINED_COLUMNS, export_schema
+from visitlog.schema import REFINED_COLUMNS, SAMPLE_COLUMNS, export_schema
 from visitlog.session import new_shared_path, scratch_table
 from visitlog.sinks.csvfiles import export_csv
 from visitlog.sinks.publish import publish_all
@@ -340,6 +340,9 @@ QUERIES = {
     "null_flags": on_refined_only(null_flags),
     "missing_purpose_rate": on_refined(quality.missing_purpose_rate),
     "missing_purpose_sample": on_refined(quality.missing_purpose_sample, order_by=["event_id"]),
+    "missing_purpose_uniform_sample": on_refined(
+        lambda t: uniform_sample(t.filter(is_empty("info_comment")).select(*SAMPLE_COLUMNS, "event_id"))
+    ),
     "visit_profile": on_refined(quality.visit_profile, REFINED_COLUMNS),
     # Clean, derive, export.
     "cleaned_visits": on_refined_only(quality.clean),

@@ -120,3 +120,45 @@ def test_any_rows_any_page_size(spark, keys, size):
     assert [r[0] for r in rows] == sorted(keys, key=lambda k: (k is not None, k or ""))
     assert [r[1] for r in rows] == list(range(2, len(keys) + 2))
     assert all(start == b * size + 1 and start <= row < start + size for _, row, b, start in rows)
+
+
+def test_wrong_unique_raises(spark, tmp_path):
+    df = _shuffled(spark, [(i % 50, f"v{i}") for i in range(300)], "k int, v string")
+    staged = []
+    with pytest.raises(paging.NotUnique, match="6 rows agree on k"):
+        number_rows(df, ["k"], unique=True, staged=staged)
+    assert not staged
+    with pytest.raises(paging.NotUnique):
+        assign_batches(_shuffled(spark, [(None,), (None,), (1,)], "k int"), ["k"], unique=True)
+    # Expressions cannot be checked, so they get a tie-break, as without ``unique``.
+    got = sorted(n for *_, n in values(number_rows(df, [F.col("k").desc()], unique=True)))
+    assert got == list(range(1, 301))
+
+
+def test_unique_is_checked_without_a_shuffle(spark):
+    from pyspark.sql import Window
+
+    from tests.helpers import plan_text
+
+    df = spark.range(0, 1000, 1, 5).select(F.xxhash64("id").alias("k"), (F.col("id") % 7).alias("v"))
+    ordered = df.orderBy(F.col("k").asc_nulls_first(), F.col("v").asc_nulls_first())
+    checked = ordered.withColumn("n", F.row_number().over(Window.partitionBy("k", "v").orderBy("k", "v")))
+    plan = plan_text(checked)
+    assert "rangepartitioning" in plan and "hashpartitioning(" not in plan
+
+
+def test_sample_is_the_same_for_any_partitioning(spark):
+    from visitlog.operators.reshape import uniform_sample
+
+    rows = [(i, None if i % 3 else f"t{i}") for i in range(500)]
+    samples = {
+        tuple(sorted(map(str, uniform_sample(_shuffled(spark, rows, "i int, t string", parts, parts), 10).collect())))
+        for parts in (1, 4, 9)
+    }
+    assert len(samples) == 1 and len(next(iter(samples))) == 10
+    df = spark.createDataFrame(rows, "i int, t string")
+    other = sorted(map(str, uniform_sample(df, 10, seed=1).collect()))
+    assert tuple(other) not in samples
+    # By chance: all parts of the table are drawn from.
+    drawn = [r.i for r in uniform_sample(df, 200, seed=2).collect()]
+    assert 200 < sum(drawn) / len(drawn) < 300 and uniform_sample(df, 0).collect() == []

@@ -7,7 +7,7 @@ partition are counted from that one stored column, and a running total of those
 counts gives each partition its offset.
 """
 
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from visitlog.operators.names import free_name
@@ -18,6 +18,10 @@ from visitlog.session import release, stage
 PLACE_BITS = 33
 
 
+class NotUnique(ValueError):
+    """Rows agree on columns that were said to tell them apart."""
+
+
 def number_rows(df, order_by=None, unique=False, name="row_number", staged=None):
     """Append a gapless 1-based number as a long.
 
@@ -26,17 +30,21 @@ def number_rows(df, order_by=None, unique=False, name="row_number", staged=None)
 
     Unless ``unique`` says that no two rows agree on ``order_by``, the rows get
     a stored tie-break first. The range sort can then split a run of equal keys
-    over many tasks, even if it is a third of all rows. ``unique`` is trusted:
-    if it is wrong, a run of equal keys is one task's, in any order.
+    over many tasks, even if it is a third of all rows. ``unique`` is checked in the
+    sorted partitions as they are written, equal keys being neighbours in one of them:
+    :class:`NotUnique` is raised if it is wrong, as numbers would depend on chance. It
+    saves the stored tie-break where all of ``order_by`` are names.
 
     The numbered rows read staged copies in the shared folder, whose paths are
     added to the list ``staged``; once the rows are written elsewhere,
     ``release(spark, staged)`` deletes the copies.
     """
     spark, columns, made = df.sparkSession, df.columns, []
-    tie, place, partition, count, offset = [
-        free_name([*columns, name], n) for n in ("_tie", "_place", "_partition", "_rows", "_offset")
+    tie, place, partition, count, offset, nth = [
+        free_name([*columns, name], n) for n in ("_tie", "_place", "_partition", "_rows", "_offset", "_nth")
     ]
+    unique = unique and order_by and all(isinstance(c, str) for c in order_by)
+    seen = Observation()
     try:
         ties = []
         if order_by:
@@ -46,7 +54,14 @@ def number_rows(df, order_by=None, unique=False, name="row_number", staged=None)
                 ties = list(made)
                 keys.append(F.col(tie))
             df = df.orderBy(*keys).select(*[F.col(f"`{c}`") for c in columns])
+            if unique:
+                # The sort has put equal keys next to each other: no further shuffle.
+                same = Window.partitionBy(*order_by).orderBy(*order_by)
+                df = df.withColumn(nth, F.row_number().over(same))
+                df = df.observe(seen, F.max(nth).alias("most")).drop(nth)
         placed = stage(df.withColumn(place, F.monotonically_increasing_id()), "placed", made)
+        if unique and (seen.get["most"] or 0) > 1:
+            raise NotUnique(f"{seen.get['most']} rows agree on {', '.join(order_by)}")
         if ties:
             made.remove(ties[0])
             release(spark, ties)
