@@ -4,11 +4,17 @@ Four rates describe a text: symbols and repeated lines and repeated words per
 word, and the mean length of its words. For each group of language and source a
 mergeable quantile sketch (KLL) of each rate is built, map-side first, so a
 source that holds a third of the rows sends one sketch per task. Sketches of the
-groups are merged into one per language and one over all; a group of fewer than
-``min_rows`` rows takes its quantiles from the next larger one. A text fails
-where a rate lies beyond the quartiles by ``reach`` times their distance (and
-``slack`` at least, so that a group of nearly equal texts rejects none of them).
-The thresholds, one row per group, are joined to the rows.
+groups are merged into one per language and one over all.
+
+A threshold is where the tail of a rate breaks off. Going up the ranks ``RANKS`` of a
+sketch, the first step that is more than ``reach`` times as long as all the way from the
+median to where it begins separates texts of another kind; the threshold is its middle.
+Without such a step nothing is: the threshold lies beyond the largest value. So where
+the threshold lies follows from the group alone; ``units`` only say below which width a
+group counts as constant. A text fails where a rate lies beyond the thresholds of its
+group and of its language; a group of fewer than ``min_rows`` rows has only the
+language's, a language of fewer only that over all. The thresholds, one row per group,
+are joined to the rows.
 
 Defined cases: NULL text has no words and fails the base rule; NULL language or
 source is a group of its own; repeated rows are judged alike; an empty table
@@ -29,8 +35,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATES = ("symbols", "lines", "repeats", "length")
-# How far beyond the quartiles a rate may lie: at least this much, in its own unit.
-SLACK = {"symbols": 0.15, "lines": 0.05, "repeats": 0.35, "length": 1.5}
+# The median, and the ranks between which the tail may break off.
+RANKS = (0.5, 0.85, 0.9, 0.92, 0.94, 0.96, 0.98, 0.99, 0.995, 1.0)
+# The least distance from the median that counts, so that ties are no tail.
+UNITS = {"symbols": 0.02, "lines": 0.01, "repeats": 0.05, "length": 0.25}
 REACH = 3.0
 MIN_ROWS = 100
 SKETCH_K = 200
@@ -110,7 +118,17 @@ def base_failed(m):
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
-def thresholds(measured, lang, source, m, reach=REACH, slack=SLACK, min_rows=MIN_ROWS, k=SKETCH_K):
+def fence(values, unit, reach=REACH):
+    """Where the tail breaks off, from an array column of the quantiles at ``RANKS``."""
+    at = [F.element_at(values, i + 1) for i in range(len(RANKS))]
+    width = [F.greatest(x - at[0], F.lit(unit)) for x in at]
+    found = at[-1] + reach * width[-1]
+    for i in reversed(range(1, len(RANKS) - 1)):
+        found = F.when(at[i + 1] - at[i] > reach * width[i], (at[i] + at[i + 1]) / 2).otherwise(found)
+    return found
+
+
+def thresholds(measured, lang, source, m, reach=REACH, units=UNITS, min_rows=MIN_ROWS, k=SKETCH_K):
     """One row per language and source: the highest allowed rates, and the range
     of mean word lengths. Only texts that pass the base rule are learnt from."""
     passed = measured.filter(~base_failed(m)).select(
@@ -123,33 +141,38 @@ def thresholds(measured, lang, source, m, reach=REACH, slack=SLACK, min_rows=MIN
         "sketches",
     )
 
-    def merged(keys, prefix):
+    def merged(*keys):
         return sketched.groupBy(*keys).agg(
-            F.sum("n").alias(f"{prefix}n"), *[F.kll_merge_agg_double(r, F.lit(k)).alias(f"{prefix}{r}") for r in RATES]
+            F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(k)).alias(r) for r in RATES]
+        )
+
+    def fences(sketches, prefix):
+        """Upper limits of all rates, and the lower one of lengths, as negative numbers."""
+        out = [F.col("n").alias(f"{prefix}n")]
+        for rate in RATES:
+            for side, sign in (("max", 1), ("min", -1)):
+                if side == "max" or rate == "length":
+                    ranks = [r if sign > 0 else 1 - r for r in RANKS]
+                    at = F.array(*[sign * F.kll_sketch_get_quantile_double(rate, F.lit(r)) for r in ranks])
+                    out.append(at.alias(f"{prefix}{side}_{rate}"))
+        keys = [c for c in ("lang", "source") if c in sketches.columns]
+        quantiles = stage(sketches.select(*keys, *out), "quantiles")
+        limits = [c for c in quantiles.columns if c not in keys and not c.endswith("_n") and c != "n"]
+        return quantiles.select(
+            *keys, f"{prefix}n", *[fence(F.col(c), units[c.rpartition("_")[2]], reach).alias(c) for c in limits]
         )
 
-    every = merged([], "all_")
-    by_lang = merged(["lang"], "lang_").withColumnRenamed("lang", "its_lang")
+    own, by_lang, every = fences(sketched, ""), fences(merged("lang"), "lang_"), fences(merged(), "all_")
+    by_lang = by_lang.withColumnRenamed("lang", "its_lang")
     # The row over all is a scalar subquery.
-    together = sketched.join(by_lang, sketched["lang"].eqNullSafe(by_lang["its_lang"])).withColumn(
+    together = own.join(by_lang, own["lang"].eqNullSafe(by_lang["its_lang"])).withColumn(
         "every", every.select(F.struct("*")).scalar()
     )
-
-    def quantile(rate, rank):
-        pick = (
-            F.when(F.col("n") >= min_rows, F.col(rate))
-            .when(F.col("lang_n") >= min_rows, F.col(f"lang_{rate}"))
-            .otherwise(F.col("every")[f"all_{rate}"])
-        )
-        return F.kll_sketch_get_quantile_double(pick, F.lit(rank))
-
     limits = []
-    for rate in RATES:
-        low, high = quantile(rate, 0.25), quantile(rate, 0.75)
-        room = F.greatest(reach * (high - low), F.lit(slack[rate]))
-        limits.append((high + room).alias(f"max_{rate}"))
-        if rate == "length":
-            limits.append((low - room).alias(f"min_{rate}"))
+    for name in [f"max_{r}" for r in RATES] + ["min_length"]:
+        larger = F.when(F.col("lang_n") >= min_rows, F.col(f"lang_{name}")).otherwise(F.col("every")[f"all_{name}"])
+        limit = F.when(F.col("n") >= min_rows, F.greatest(F.col(name), larger)).otherwise(larger)
+        limits.append((limit if name.startswith("max") else -limit).alias(name))
     return stage(together.select("lang", "source", *limits), "thresholds")
 
 
