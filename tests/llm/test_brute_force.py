@@ -56,7 +56,7 @@ def chain(n, length=60, step=3):
 def test_chains_and_dense_groups(spark, monkeypatch):
     # Small blocks, so that hot buckets are cut.
     monkeypatch.setattr(neardup, "BLOCK", 4)
-    monkeypatch.setattr(neardup, "SET_BLOCK", 3)
+    monkeypatch.setattr(neardup, "SET_BLOCK", 200)
     base = [f"b{i}" for i in range(80)]
     dense = [(100 + i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(40)]
     other = [f"b{i}" if i < 66 else f"c{i}" for i in range(80)]
@@ -67,6 +67,28 @@ def test_chains_and_dense_groups(spark, monkeypatch):
     assert got == brute.near_duplicates(rows)
 
 
+def test_blocks_of_sets_have_few_long_texts(spark, monkeypatch):
+    """Long texts that hang together only by chance of a region: blocks hold as many shingles, not classes."""
+    real = neardup._confirm_regions
+
+    def watched(batches):
+        for batch in batches:
+            sizes = [len(x) // 8 for x in batch.column("shingles").to_pylist()]
+            blocks = list(zip(*[batch.column(c).to_pylist() for c in ("key", "first", "second")]))
+            total = {}
+            for b, n in zip(blocks, sizes):
+                total[b] = total.get(b, 0) + n
+            assert max(total.values(), default=0) < 4 * 3000 + 2 * 1200
+            yield from real([batch])
+
+    monkeypatch.setattr(neardup, "SET_BLOCK", 3000)
+    monkeypatch.setattr(neardup, "_confirm_regions", watched)
+    rows = [(i, t) for i, t in chain(24, length=900, step=60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = tuples(link_duplicates(df), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == brute.near_duplicates(rows)
+
+
 def test_radius_is_kept_by_the_keys():
     """Any two signatures with RADIUS errors share a key."""
     import numpy as np

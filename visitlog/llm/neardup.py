@@ -55,8 +55,9 @@ SHINGLE = 5
 PERCENT = 75
 SYMBOLS, BITS, CHUNK, ERRORS = 40, 16, 5, 2
 RADIUS = SYMBOLS // CHUNK * (ERRORS + 1) - 1
-# Classes per block, by signature and with their sets.
-BLOCK, SET_BLOCK = 1024, 512
+# Classes per block, by signature; and shingles per block of sets, so that a block of long
+# texts has few of them.
+BLOCK, SET_BLOCK = 1024, 1 << 18
 
 _FACTORS = random_words(SHINGLE + 1, 1) | np.uint64(1)
 _SCALES, _SHIFTS = random_words(SYMBOLS, 2) | np.uint64(1), random_words(SYMBOLS, 3)
@@ -286,9 +287,9 @@ def _confirmed(pairs, sets, node):
 def _in_blocks(members, groups, size):
     """Rows of ``key, node, component`` dealt out to pairs of blocks of their group.
 
-    ``groups`` has ``key``, the ``main`` component, and how many rows of the group
-    are in it (``n_in``) and outside (``n_out``). Blocks of the main component meet
-    those outside, and those meet each other."""
+    ``groups`` has ``key``, the ``main`` component, and how many rows (or shingles) of
+    the group are in it (``n_in``) and outside (``n_out``). Blocks of the main component
+    meet those outside, and those meet each other."""
     joined = members.join(groups, "key")
     blocks_in = F.ceil(F.col("n_in") / size).cast("int")
     blocks_out = F.ceil(F.col("n_out") / size).cast("int")
@@ -340,10 +341,11 @@ def _regions(star, near, known, signed, node):
     return found.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _late_links(regions, sets, node):
-    """Pairs of components that links within the regions join."""
-    regions = stage(regions, "regions")
-    sizes = regions.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+def _late_links(regions, sets, sizes, node):
+    """Pairs of components that links within the regions join; ``sizes`` has ``node`` and
+    ``n``, its number of shingles."""
+    regions = stage(regions.join(sizes, "node"), "regions")
+    sizes = regions.groupBy("key", "component").agg(F.sum("n").alias("n"))
     groups = (
         sizes.groupBy("key")
         .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_in"),
@@ -364,8 +366,9 @@ def _link(docs):
     classes = stage(
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "signature", "first.*"),
+        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"),
+             F.first("n_shingles").alias("n"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "signature", "n", "first.*"),
         "classes",
     )
     signed = classes.select("node", "signature")
@@ -387,7 +390,7 @@ def _link(docs):
     nearest = near.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
     known = connected_components(_confirmed(nearest, sets, node))
 
-    late = _late_links(_regions(star, near, known, signed, node), sets, node)
+    late = _late_links(_regions(star, near, known, signed, node), sets, classes.select("node", "n"), node)
     joined = connected_components(late).select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
     # Nodes that only the late links name stand for themselves so far.
@@ -396,7 +399,7 @@ def _link(docs):
     members = final.join(classes.select("node", F.struct("doc_id", "mark", "node").alias("own")), "node")
     least = members.groupBy("group").agg(F.min("own").alias("component"))
     linked = members.join(least, "group").select("node", "component")
-    return rows, classes.drop("signature").join(linked, "node", "left").withColumn(
+    return rows, classes.drop("signature", "n").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", F.struct("doc_id", "mark", "node"))
     )
 
