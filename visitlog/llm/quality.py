@@ -156,7 +156,8 @@ def thresholds(measured, lang, source, m, reach=REACH, units=UNITS, min_rows=MIN
                     at = F.array(*[sign * F.kll_sketch_get_quantile_double(rate, F.lit(r)) for r in ranks])
                     out.append(at.alias(f"{prefix}{side}_{rate}"))
         keys = [c for c in ("lang", "source") if c in sketches.columns]
-        quantiles = stage(sketches.select(*keys, *out), "quantiles")
+        # An empty sketch has no quantiles.
+        quantiles = stage(sketches.filter("n > 0").select(*keys, *out), "quantiles")
         limits = [c for c in quantiles.columns if c not in keys and not c.endswith("_n") and c != "n"]
         return quantiles.select(
             *keys, f"{prefix}n", *[fence(F.col(c), units[c.rpartition("_")[2]], reach).alias(c) for c in limits]
