@@ -60,8 +60,6 @@ WANTED, MOST_PASSES, TASK_WORDS = 20_000_000, 12, 5_000_000
 # values of a parameter row in a shuffle.
 TRAINED, COUNTED, BATCH, SLAB = 1 << 15, 1 << 20, 1 << 16, 1 << 16
 SKETCH = 12
-# Sums of a slab in the first of two steps.
-ADDED = 256
 SMOOTH = 0.1
 # Fixed value: the word that stands for the end of a text among the counts.
 END_WORD = -1
@@ -432,10 +430,10 @@ def _counted(texts, begin, rng):
         yield cell // units**2, cell // units % units, cell % units, n.astype(np.float32)
 
 
-def _slabs(values, weight):
+def _slabs(values, weight, added):
     """A flat array as rows ``part``, ``some``, ``weight``, ``data``; a few at a time.
-    ``some`` deals the tasks out to about the root of their number."""
-    some = TaskContext.get().partitionId() % ADDED
+    ``some`` is one of ``added`` groups of tasks."""
+    some = TaskContext.get().partitionId() % added
     for begin in range(0, len(values), SLAB):
         data = (values[begin : begin + SLAB] * np.float32(weight)).astype(np.float32).tobytes()
         arrays = [pa.array([begin // SLAB]), pa.array([some]), pa.array([float(weight)]), pa.array([data], pa.binary())]
@@ -466,7 +464,7 @@ def _summed(frame, task):
     return (np.concatenate([np.frombuffer(r.data, np.float32) for r in rows]), rows[0].weight) if rows else (None, 0)
 
 
-def _sketch_task(begin, frequency):
+def _sketch_task(begin, frequency, added):
     """Sums over what comes before each unit, of a fixed random row for each unit."""
     rng = np.random.default_rng(1)
     rows = rng.normal(0, 1, (begin + 1, SKETCH)).astype(np.float32)
@@ -483,12 +481,12 @@ def _sketch_task(begin, frequency):
                 out += _sums_of(units[part], rows[one[part]], begin)
             some = True
         if some:
-            yield from _slabs(out.ravel(), 1)
+            yield from _slabs(out.ravel(), 1, added)
 
     return task
 
 
-def _train_task(shared, turn, passes):
+def _train_task(shared, turn, passes, added):
     """Parameters after steps on the task's rows; those of ``passes`` of ``ROUNDS`` runs if
     these are fewer, else all of them, more than once."""
 
@@ -506,7 +504,7 @@ def _train_task(shared, turn, passes):
                 words += sum(map(len, texts))
         if words:
             flat = np.concatenate([v.ravel() for v in model.p.values()])
-            yield from _slabs(flat, words)
+            yield from _slabs(flat, words, added)
 
     return task
 
@@ -515,16 +513,19 @@ def train_model(training, heads, counts):
     """A model of the frame's ``units``; ``counts`` are those of the predicted units."""
     begin, spark, words = heads + TAILS + 1, training.sparkSession, int(counts.sum())
     # A task sends all parameters once a round, so it gets enough rows for that.
-    training = training.coalesce(1 + words // TASK_WORDS)
+    tasks = 1 + words // TASK_WORDS
+    training = training.coalesce(tasks)
+    # What so many tasks send is added up in as many groups as each then has tasks.
+    added = max(1, round(tasks**0.5))
     passes = min(MOST_PASSES, max(1, round(WANTED / max(1, words))))
-    sums, _ = _summed(training, _sketch_task(begin, counts))
+    sums, _ = _summed(training, _sketch_task(begin, counts, added))
     if sums is None:
         return LogBilinear(heads=heads, counts=counts)
     sketches = sums.reshape(begin, SKETCH).astype(np.float64) / (counts + LEAST)[:, None]
     model = LogBilinear(heads=heads, counts=counts, sketches=sketches)
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        total, weight = _summed(training, _train_task(shared, turn, passes))
+        total, weight = _summed(training, _train_task(shared, turn, passes, added))
         if total is None:
             continue
         at = 0
