@@ -5,6 +5,13 @@ one document of each group of near duplicates stays, documents that hold benchma
 passages go, personal data and secrets get surrogates, and what is left is packed
 into windows. Each result is written to the shared folder and read again, so a
 lost executor repeats one stage at most.
+
+Defined cases, by stage: NULL or empty text has no words and fails the quality rules; the
+later stages, given such rows, keep them (near duplicates and decontamination) or leave them
+as they are (surrogates), and pack them with length 0. A NULL id, language or source is a
+value like any other; rows with a NULL id are never dropped as copies, and of rows with one
+id and text one stays. Other columns, of any name, pass through all stages but the last. An
+empty table gives an empty table of the same columns after each stage.
 """
 
 from pyspark.sql import functions as F
