@@ -173,7 +173,7 @@ def test_swapped_cells_on_disk_are_found(spark, tmp_path):
 
 
 def test_replacing_leaves_no_gap(spark, tmp_path, monkeypatch):
-    base, name = str(tmp_path / "versions"), "replaced"
+    base, name = str(tmp_path / "ver's ions"), "replaced"
     first = spark.range(5).select(F.col("id").alias("n"), F.lit("a").alias("x"))
     replace_table(first, name, base)
     old = values(spark.table(name).orderBy("n"))

@@ -96,15 +96,15 @@ def _write_manifest(spark, base, batch, files, digests, rows=0, digest=""):
     noted.coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/{batch}")
 
 
-def _changed(spark, base, files, known):
+def _changed(spark, files, known):
     """Of files that the manifest knows with another length or time, those that were only
     touched; raises if one has other rows."""
-    before = {r.uri: r for r in known.filter(F.col("uri").isin([f.uri for f in files])).select("uri", "rows", "digest").collect()}
-    again = [f for f in files if f.uri in before]
+    before = known.select("uri", "rows", "digest").dropDuplicates(["uri"])
+    again = files.join(before, "uri").collect()
     if not again:
         return []
     now = {r.uri: (r.rows, r.digest) for r in _digests(spark, again).collect()}
-    other = [f.path for f in again if now.get(f.uri, (0, "")) != (before[f.uri].rows, before[f.uri].digest)]
+    other = [f.path for f in again if now.get(f.uri, (0, "")) != (f["rows"], f.digest)]
     if other:
         raise ChangedFile(f"{len(other)} files were stored with other rows, the first is {other[0]}")
     return again
@@ -117,12 +117,13 @@ def refine_new_files(spark, log, base, visitee=VISITEE, fmt="orc", clock="12h",
     base = base.rstrip("/")
     known = stage(read_manifest(spark, base), "manifest")
     same = ["uri", "length", "modified"]
-    # Names of new files only reach the driver, which needs them to plan their reading.
-    new = sorted(list_files(spark, log).join(known.select(*same), same, "left_anti").collect())
-    touched = _changed(spark, base, new, known)
+    arrived = stage(list_files(spark, log).join(known.select(*same), same, "left_anti"), "arrived")
+    touched = sorted(_changed(spark, arrived, known))
     if touched:
         _write_manifest(spark, base, f"seen-{_batch(touched)}", touched, _digests(spark, touched))
-    new = [f for f in new if f not in touched]
+    # Names of new files only reach the driver, which needs them to plan their reading.
+    seen = {f.uri for f in touched}
+    new = [f for f in sorted(arrived.collect()) if f.uri not in seen]
     if new:
         batch = _batch(new)
         path = f"{base}/rows/{batch}"

@@ -57,7 +57,8 @@ def replace_table(df, table, base, fmt="orc"):
         raise
     former = _location(spark, table)
     if former is not None and _same_columns(spark, table, df, fmt):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path, fmt, df.schema)
