@@ -30,6 +30,7 @@ trained on and scored one by one; without training rows every word is unknown;
 an empty table gives no rows.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,9 @@ WANTED, MOST_PASSES, TASK_WORDS = 20_000_000, 12, 5_000_000
 # Different trigrams of a step, words they are counted over, words scored at once, and
 # values of a parameter row in a shuffle.
 TRAINED, COUNTED, BATCH, SLAB = 1 << 15, 1 << 20, 1 << 16, 1 << 16
+# Parameters changed at once, exponentials of a block of contexts, and the largest score
+# whose exponential may be multiplied by another.
+STRETCH, WIDE, SAFE = 1 << 14, 1 << 21, 40.0
 SKETCH = 12
 SMOOTH = 0.1
 # Fixed value: the word that stands for the end of a text among the counts.
@@ -90,15 +94,15 @@ def _count_task(batches):
 
     def counted():
         langs = pa.chunked_array([h[2] for h in held]).dictionary_encode().combine_chunks()
-        lang = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        lang = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
         lang = np.repeat(lang, np.concatenate([h[3] for h in held]))
         words, tails = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        order = np.lexsort((words, lang))
-        words, lang, tails = words[order], lang[order], tails[order]
-        new = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (lang[1:] != lang[:-1])]))
-        n = np.diff(np.append(new, len(words)))
-        names = langs.dictionary.take(pa.array(lang[new], mask=lang[new] < 0))
-        arrays = [names, pa.array(words[new]), pa.array(tails[new]), pa.array(n)]
+        # Equal words have equal units.
+        found = pa.table({"lang": lang, "word": words, "unit": tails}).group_by(["lang", "word"], use_threads=False)
+        found = found.aggregate([("unit", "min"), ([], "count_all")]).combine_chunks()
+        lang = found["lang"].to_numpy()
+        names = langs.dictionary.take(pa.array(lang, mask=lang < 0))
+        arrays = [names, *(found[c].combine_chunks() for c in ("word", "unit_min", "count_all"))]
         return pa.RecordBatch.from_arrays(arrays, ["lang", "word", "unit", "n"])
 
     for batch in batches:
@@ -190,14 +194,48 @@ def _encode_task(shared, heads, smooth_total, base_total):
     return task
 
 
-def _sums_of(place, values, n):
-    """Sums of the rows of ``values`` with each place below ``n``."""
-    return np.stack([np.bincount(place, v, n) for v in np.ascontiguousarray(values.T)], 1).astype(np.float32)
+class Held(dict):
+    """Arrays by name that are used again: fresh memory takes longer than the sums in it."""
+
+    def array(self, name, *shape):
+        size = math.prod(shape)
+        if name not in self or self[name].size < size:
+            self[name] = np.empty(size, np.float32)
+        return self[name][:size].reshape(shape)
+
+
+def _sums_of(place, columns, n, held=None, name="sums"):
+    """Sums of the values of each place below ``n``, as rows; ``columns`` holds a row of
+    values for each column of the sums."""
+    held = Held() if held is None else held
+    by_column = held.array("by column", len(columns), n)
+    for sums, values in zip(by_column, columns):
+        sums[:] = np.bincount(place, values, n)
+    return _turned(by_column, held.array(name, n, len(columns)))
+
+
+def _rows(values, at, out=None):
+    """Rows of a table; much faster than by index, and without a new array if ``out`` is given."""
+    return values.take(at, 0, out, "clip")
+
+
+def _turned(values, out):
+    """The transposed array, copied by blocks that stay in the cache."""
+    wide = values.shape[1] > values.shape[0]
+    for at in range(0, max(values.shape), 1024):
+        part = slice(at, at + 1024)
+        if wide:
+            out[part] = values[:, part].T
+        else:
+            out[:, part] = values[part].T
+    return out
 
 
 def _sigmoid(x):
+    """In the place of ``x``."""
+    np.negative(x, out=x)
     with np.errstate(over="ignore"):
-        x = np.exp(-x)
+        np.exp(x, out=x)
     x += 1
     return np.divide(1, x, out=x)
 
@@ -267,8 +305,10 @@ class LogBilinear:
         self.p["class_bias"] = np.log(self.class_share)
         self.p["bias"] = np.log(self.share)
 
-    def _tables(self):
-        return self.p["seen"] @ self.p["far"], self.p["seen"] @ self.p["next"]
+    def _tables(self, held):
+        """What each unit adds to a vector, by its place."""
+        shape, p = self.p["seen"].shape, self.p
+        return tuple(np.matmul(p["seen"], p[name], out=held.array(f"table {name}", *shape)) for name in ("far", "next"))
 
     def _by_class(self, classes):
         """``(class, begin, end)`` of runs of equal values in sorted ``classes``."""
@@ -276,34 +316,24 @@ class LogBilinear:
         return zip(classes[at].tolist(), at.tolist(), [*at[1:].tolist(), len(classes)])
 
     def log_probabilities(self, two, one, target):
-        """Natural logarithms of the normalised probabilities, a batch at a time.
+        """Natural logarithms of the normalised probabilities.
 
         What the classes add up to depends on the two units before only, and what the
         units of a class add up to on those and the class: neighbours that agree in
-        these share one row of products."""
-        far, near = self._tables()
-        p, out = self.p, np.empty(len(target), np.float32)
-        for begin in range(0, len(target), BATCH):
-            part = slice(begin, begin + BATCH)
-            first, run = _runs_of(two[part] * self.units + one[part])
-            hidden = far[two[part][first]] + near[one[part][first]]
-            ranks = self.rank[target[part]]
-            classes = self.unit_class[self.order[ranks]]
-            found = np.empty(len(ranks), np.float32)
-            for some in range(0, len(first), 4096):
-                rows = slice(some, some + 4096)
-                own = slice(first[some], first[some + 4096] if some + 4096 < len(first) else len(run))
-                found[own] = _log_share(hidden[rows] @ p["classes"].T + p["class_bias"], run[own] - some, classes[own])
-            order = np.argsort(classes.astype(np.int64) * len(first) + run, kind="stable")
-            classes, run, ranks = classes[order], run[order], ranks[order]
-            within = np.empty(len(ranks), np.float32)
-            for c, a, b in self._by_class(classes):
-                own = slice(self.first[c], self.first[c + 1])
-                heads, pair = _runs_of(run[a:b])
-                scores = hidden[run[a:b][heads]] @ p["units"][own].T + p["bias"][own]
-                within[a:b] = _log_share(scores, pair, ranks[a:b] - own.start)
-            found[order] += within
-            out[part] = found
+        these share one sum, and all sums share the exponentials of each unit before."""
+        held = Held()
+        far, near = self._tables(held)
+        p, classes = self.p, self.unit_class.astype(np.uint16)[target]
+        first, run = _runs_of(two.astype(np.int64) * self.units + one)
+        two, one = two[first], one[first]
+        out = _log_shares(far, near, p["classes"], p["class_bias"], two, one, run, classes, held)
+        order = np.argsort(classes, kind="stable")
+        for c, a, b in self._by_class(classes[order]):
+            own, at = slice(self.first[c], self.first[c + 1]), order[a:b]
+            heads, pair = _runs_of(run[at])
+            some = run[at[heads]]
+            vectors, picked = (p["units"][own], p["bias"][own]), self.rank[target[at]] - own.start
+            out[at] += _log_shares(far, near, *vectors, two[some], one[some], pair, picked, held)
         return out
 
     def log_table(self):
@@ -316,50 +346,74 @@ class LogBilinear:
     def gradients(self, two, one, target, times, rng):
         """Of the noise-contrastive loss of one batch: its classes are told from
         ``NOISE_CLASSES`` drawn ones, and its units from ``NOISE_UNITS`` of their class."""
-        p, (far, near) = self.p, self._tables()
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
+        p, held, grads = self.p, self.held, {}
+        far, near = self._tables(held)
         ranks = self.rank[target]
         order = np.argsort(ranks.astype(np.uint16), kind="stable")
         ranks, two, one = ranks[order], two[order], one[order]
         weight = (times[order] / times.sum()).astype(np.float32)
         classes = self.unit_class[self.order[ranks]]
-        hidden = far[two] + near[one]
-        back = np.zeros_like(hidden)
+        shape = len(two), RANK
+        hidden = _rows(far, two, held.array("hidden", *shape))
+        hidden += _rows(near, one, held.array("own", *shape))
+        columns, back = _turned(hidden, held.array("columns", *shape[::-1])), held.array("back", *shape)
+        back[:] = 0
 
         def real(at, vectors, bias, log_noise):
-            own = p[vectors][at]
+            own = _rows(p[vectors], at, held.array("own", *shape))
             error = (_sigmoid(np.einsum("ij,ij->i", hidden, own) + p[bias][at] - log_noise[at]) - 1) * weight
-            grads[bias] += np.bincount(at, error, len(log_noise)).astype(np.float32)
-            grads[vectors] += _sums_of(at, error[:, None] * hidden, len(log_noise))
-            back[:] += error[:, None] * own
-
-        def noise(at, rows, vectors, bias, log_noise):
-            own, h = p[vectors][at], hidden[rows]
-            error = _sigmoid(h @ own.T + (p[bias][at] - log_noise[at])) * weight[rows, None]
-            np.add.at(grads[bias], at, error.sum(0))
-            np.add.at(grads[vectors], at, error.T @ h)
-            back[rows] += error @ own
+            grads[bias] = np.bincount(at, error, len(log_noise)).astype(np.float32)
+            products = np.multiply(error, columns, out=held.array("products", *columns.shape))
+            grads[vectors] = _sums_of(at, products, len(log_noise), held, vectors)
+            own *= error[:, None]
+            np.add(back, own, out=back)
+
+        def noise(at, runs, vectors, bias, log_noise):
+            """``at`` has a row of drawn vectors for each of ``runs`` of rows, ``(begin, end)``."""
+            own, shift = p[vectors][at], p[bias][at] - log_noise[at]
+            error = held.array("error", len(hidden), at.shape[1])
+            for (a, b), drawn, more in zip(runs, own, shift):
+                np.matmul(hidden[a:b], drawn.T, out=error[a:b])
+                error[a:b] += more
+            _sigmoid(error)
+            error *= weight[:, None]
+            sums, products = np.empty(at.shape, np.float32), np.empty(own.shape, np.float32)
+            more = held.array("own", *shape)
+            for i, (a, b) in enumerate(runs):
+                some = error[a:b]
+                np.add.reduce(some, 0, out=sums[i])
+                np.matmul(some.T, hidden[a:b], out=products[i])
+                np.matmul(some, own[i], out=more[a:b])
+            np.add(back, more, out=back)
+            np.add.at(grads[bias], at.ravel(), sums.ravel())
+            np.add.at(grads[vectors], at.ravel(), products.reshape(-1, RANK))
 
         def drawn(low, high, running, n):
-            below = running[low - 1] if low else 0.0
-            at = np.searchsorted(running, below + rng.random(n) * (running[high - 1] - below), "right")
-            return np.clip(at, low, high - 1)
+            """``n`` places of each range, as often as their part of it."""
+            below, to = np.where(low > 0, running[low - 1], 0.0)[:, None], running[high - 1][:, None]
+            at = np.searchsorted(running, below + rng.random((len(low), n)) * (to - below), "right")
+            return np.clip(at, low[:, None], high[:, None] - 1)
 
         of_classes = "classes", "class_bias", np.log(NOISE_CLASSES * self.class_share)
         of_units = "units", "bias", np.log(NOISE_UNITS * self.share)
         real(classes, *of_classes)
-        among = drawn(0, len(self.class_share), np.cumsum(self.class_share, dtype=np.float64), NOISE_CLASSES)
-        noise(among, slice(None), *of_classes)
+        all_classes = np.array([0]), np.array([len(self.class_share)])
+        among = drawn(*all_classes, np.cumsum(self.class_share, dtype=np.float64), NOISE_CLASSES)
+        noise(among, [(0, len(hidden))], *of_classes)
         real(ranks, *of_units)
-        for c, a, b in self._by_class(classes):
-            noise(drawn(self.first[c], self.first[c + 1], self.running, NOISE_UNITS), slice(a, b), *of_units)
-        by_far, by_near = _sums_of(two, back, self.units), _sums_of(one, back, self.units)
+        present, *runs = zip(*self._by_class(classes))
+        present = np.array(present)
+        noise(drawn(self.first[present], self.first[present + 1], self.running, NOISE_UNITS), list(zip(*runs)), *of_units)
+        _turned(back, columns)
+        by_far, by_near = (_sums_of(x, columns, self.units, held, name) for x, name in ((two, "by far"), (one, "by near")))
         grads["far"], grads["next"] = p["seen"].T @ by_far, p["seen"].T @ by_near
-        grads["seen"] = by_far @ p["far"].T + by_near @ p["next"].T
+        grads["seen"] = np.matmul(by_far, p["far"].T, out=far)
+        grads["seen"] += np.matmul(by_near, p["next"].T, out=near)
         return grads
 
     def start(self):
-        """Moments of the steps that follow."""
+        """Moments of the steps that follow, and parameters that they may change."""
+        self.p, self.held = {k: v.copy() for k, v in self.p.items()}, Held()
         self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         self.steps = 0
 
@@ -367,10 +421,14 @@ class LogBilinear:
         self.steps += 1
         for name, grad in self.gradients(two, one, target, times, rng).items():
             mean, square = self.moments[name]
-            mean += 0.1 * (grad - mean)
-            square += 0.01 * (grad * grad - square)
-            fast = mean * np.float32(rate / (1 - 0.9**self.steps))
-            self.p[name] = self.p[name] - fast / (np.sqrt(square / np.float32(1 - 0.99**self.steps)) + np.float32(1e-8))
+            arrays = [v.reshape(-1) for v in (self.p[name], grad, mean, square)]
+            part, least = np.float32(rate / (1 - 0.9**self.steps)), np.float32(1 - 0.99**self.steps)
+            # A stretch that stays in the cache at a time.
+            for at in range(0, grad.size, STRETCH):
+                value, grad_, mean, square = (v[at : at + STRETCH] for v in arrays)
+                mean += 0.1 * (grad_ - mean)
+                square += 0.01 * (grad_ * grad_ - square)
+                value -= mean * part / (np.sqrt(square / least) + np.float32(1e-8))
 
     def train(self, cells, counts, steps=STEPS, rate=RATE):
         """Steps over counted trigrams ``(two * units + one) * units + target``."""
@@ -389,19 +447,59 @@ class LogBilinear:
 def _runs_of(values):
     """Where each run of equal neighbours begins, and which run each value is in."""
     new = np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]])
-    return np.flatnonzero(new), np.cumsum(new) - 1
+    return np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
+
+
+def _log_shares(far, near, vectors, bias, two, one, row, at, held):
+    """Logarithm of the share of vector ``at`` in the exponentials of its context.
+
+    Contexts are ``two`` and ``one``, and ``row`` (ascending) is that of each ``at``. A
+    score is the sum of one of either unit, so its exponential is a product of two, which
+    are found once for each unit of a block of contexts."""
+    out = np.empty(len(at), np.float32)
+    size = max(1, WIDE // len(vectors))
+    for begin in range(0, len(two), size):
+        own = slice(*np.searchsorted(row, (begin, begin + size)))
+        picked, rows = at[own], row[own] - begin
+        heads, place_two = _runs_of(two[begin : begin + size])
+        ones, place_one = _places(one[begin : begin + size], len(near))
+        by_two, by_one = (
+            np.matmul(_rows(table, units, held.array("rows", len(units), RANK)), vectors.T, out=held.array(name, len(units), len(vectors)))
+            for name, table, units in (("by two", far, two[begin + heads]), ("by one", near, ones))
+        )
+        by_two += bias
+        if max(by_two.max(), by_one.max(), -by_two.min(), -by_one.min()) < SAFE:
+            score = by_two[place_two[rows], picked] + by_one[place_one[rows], picked]
+            np.exp(by_two, out=by_two)
+            np.exp(by_one, out=by_one)
+            total = np.empty(len(place_two), np.float32)
+            first, second = held.array("contexts", 2, 256, len(vectors))
+            for some in range(0, len(total), 256):
+                part = slice(some, some + 256)
+                n = len(total[part])
+                x, y = _rows(by_two, place_two[part], first[:n]), _rows(by_one, place_one[part], second[:n])
+                np.einsum("ij,ij->i", x, y, out=total[part])
+            out[own] = score - np.log(total)[rows]
+            continue
+        for some in range(0, len(place_two), 4096):
+            scores = _rows(by_two, place_two[some : some + 4096])
+            scores += _rows(by_one, place_one[some : some + 4096])
+            part = slice(*np.searchsorted(rows, (some, some + 4096)))
+            most = scores.max(1)
+            score = scores[rows[part] - some, picked[part]]
+            total = most + np.log(np.exp(scores - most[:, None]).sum(1))
+            out[own][part] = score - total[rows[part] - some]
+    return out
 
 
-def _log_share(scores, row, at):
-    """Logarithm of the share of ``scores[row, at]`` in the exponentials of its row."""
-    picked = scores[row, at]
-    ones = np.ones(scores.shape[1], np.float32)
-    with np.errstate(over="ignore", invalid="ignore"):
-        total = np.exp(scores) @ ones
-    if not ((total > 0) & np.isfinite(total)).all():
-        most = scores.max(1)
-        total, picked = np.exp(scores - most[:, None]) @ ones, picked - most[row]
-    return picked - np.log(total)[row]
+def _places(values, n):
+    """The different ones of values below ``n``, and which of them each value is."""
+    there = np.zeros(n, bool)
+    there[values] = True
+    different = np.flatnonzero(there)
+    place = np.empty(n, np.int64)
+    place[different] = np.arange(len(different))
+    return different, place[values]
 
 
 def _runs(batches):
@@ -469,16 +567,17 @@ def _sketch_task(begin, frequency, added):
     rng = np.random.default_rng(1)
     rows = rng.normal(0, 1, (begin + 1, SKETCH)).astype(np.float32)
     rows /= np.sqrt(np.append(frequency, frequency[-1]) + 1)[:, None].astype(np.float32)
+    columns = np.ascontiguousarray(rows.T)
 
     def task(batches):
-        out = np.zeros((begin, SKETCH), np.float32)
+        out, held = np.zeros((begin, SKETCH), np.float32), Held()
         some = False
         for texts in _runs(batches):
             units = np.concatenate(texts).astype(np.int64)
             _, one = contexts(units, np.concatenate([[0], np.cumsum([len(u) for u in texts])]), begin)
             for at in range(0, len(units), BATCH):
                 part = slice(at, at + BATCH)
-                out += _sums_of(units[part], rows[one[part]], begin)
+                out += _sums_of(units[part], np.take(columns, one[part], 1), begin, held)
             some = True
         if some:
             yield from _slabs(out.ravel(), 1, added)
@@ -542,11 +641,17 @@ def _score_task(shared):
         for batch in batches:
             units = [np.frombuffer(raw, np.uint16) for raw in batch.column("units").to_pylist()]
             bounds = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
-            flat = np.concatenate([np.zeros(0, np.uint16), *units]).astype(np.int64)
-            two, one = contexts(flat, bounds, model.begin)
-            cells, at = np.unique((two * model.units + one) * model.units + flat, return_inverse=True)
-            parts = cells // model.units**2, cells // model.units % model.units, cells % model.units
-            logs = model.log_probabilities(*parts)[at] if len(flat) else np.zeros(0)
+            flat = np.concatenate([np.zeros(0, np.uint16), *units])
+            two, one = (x.astype(np.uint16) for x in contexts(flat, bounds, model.begin))
+            # Equal trigrams are neighbours in this order.
+            order = np.argsort(flat, kind="stable")
+            for values in (one, two):
+                order = order[np.argsort(values[order], kind="stable")]
+            two, one, flat = two[order], one[order], flat[order]
+            first, run = _runs_of((two.astype(np.int64) * model.units + one) * model.units + flat)
+            logs = np.empty(len(flat), np.float32)
+            logs[order] = model.log_probabilities(two[first], one[first], flat[first])[run]
+            del order, run, two, one, flat
             running = np.concatenate([[0], np.cumsum(logs, dtype=np.float64)])
             scores = np.diff(running[bounds]) / np.log(10)
             yield pa.RecordBatch.from_arrays(
